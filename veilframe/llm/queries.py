@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import BytePairs
 from .common import table
 from .quality_rules import quality_measures
+from .sharding import interleave
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +18,27 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", quality_measures("text").alias("q")).select("doc_id", "q.*")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of the same mixture of sources."""
+    return interleave(table(spark, sf_dir, "documents"), shards=16)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again, as digests."""
+    pairs = BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = table(spark, sf_dir, "documents").select("doc_id", pairs.encode("text").alias("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(pairs.decode("ids"), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict:
     return {
+        "op3_sharding": op3_sharding,
+        "op4_bpe": op4_bpe,
         "op10_quality_rules": op10_quality_rules,
     }
 
