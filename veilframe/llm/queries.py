@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .bpe import BytePairs
 from .common import table
+from .minhash import Sketch, near_duplicates
 from .quality_rules import quality_measures
 from .sharding import interleave
 
@@ -18,6 +19,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", quality_measures("text").alias("q")).select("doc_id", "q.*")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents on 4-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), sketch=Sketch(width=4, percent=80))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of the same mixture of sources."""
     return interleave(table(spark, sf_dir, "documents"), shards=16)
@@ -37,6 +43,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_minhash": op2_minhash,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op10_quality_rules": op10_quality_rules,
