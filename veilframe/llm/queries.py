@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 
 from .bpe import BytePairs
 from .common import table
+from .langid import identify
 from .minhash import Sketch, near_duplicates
 from .quality_rules import quality_measures
 from .sharding import interleave
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression bands over every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,6 +52,7 @@ def queries() -> dict:
         "op2_minhash": op2_minhash,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
+        "op6_langid": op6_langid,
         "op10_quality_rules": op10_quality_rules,
     }
 
