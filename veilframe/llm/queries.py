@@ -10,6 +10,7 @@ from .bpe import BytePairs
 from .common import table
 from .langid import identify
 from .minhash import Sketch, near_duplicates
+from .quality_gam import classify
 from .quality_rules import quality_measures
 from .sharding import interleave
 
@@ -19,6 +20,11 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression bands over every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -53,6 +59,7 @@ def queries() -> dict:
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
         "op6_langid": op6_langid,
+        "op7_quality": op7_quality,
         "op10_quality_rules": op10_quality_rules,
     }
 
