@@ -10,24 +10,30 @@ Each row is encoded alone within Arrow batches: no shuffle, and memory is bounde
 the longest text plus a bounded cache of pieces.
 
 Defined results: a null text is encoded as the empty text (no ids); null or empty ids
-decode to no bytes; ties do not occur (ranks are unique); extra columns are untouched,
-because both operators are column expressions.
+decode to no bytes; ties do not occur (ranks are unique); extra columns pass through
+untouched, and a name that is taken is refused; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
-CACHE = 200_000
+CACHE = 120_000
+#: Rows of an output batch; bounds what a worker holds.
+SLICE = 256
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -71,35 +77,39 @@ def pretokenise(text: str, pattern, chunk: int = CHUNK, overlap: int = OVERLAP)
     return done
 
 
+class Pieces(dict):
+    """Piece -> ids, bounded: a missing piece is merged, and kept while there is room."""
+
+    def __init__(self, merge):
+        self.merge = merge
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        ids = tuple(self.merge(piece.encode("utf-8")))
+        if len(self) < CACHE:
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """Ids of texts and bytes of ids, with a bounded cache of pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
-        self.merge = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        self.pieces = Pieces(tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece)
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.cache: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str | None, chunk: int = CHUNK, overlap: int = OVERLAP) -> np.ndarray:
-        ids: list[int] = []
-        cache, extend = self.cache, ids.extend
-        for piece in pretokenise(text or "", self.pattern, chunk, overlap):
-            got = cache.get(piece)
-            if got is None:
-                got = tuple(self.merge(piece.encode("utf-8")))
-                if len(cache) < CACHE:
-                    cache[piece] = got
-            extend(got)
-        return np.array(ids, np.int32)
+        pieces = pretokenise(text or "", self.pattern, chunk, overlap)
+        return np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, pieces)), np.int32)
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())) if ids is not None else b""
 
 
 class BytePairs:
-    """Column operators for one rank file.
+    """Operators for one rank file.
 
     path: the rank file, read on the driver (under 1 MB; broadcast once).
     """
@@ -108,16 +118,31 @@ class BytePairs:
         self.shared = spark.sparkContext.broadcast({"ranks": load_ranks(path)})
         self.pattern = pattern
 
-    def encode(self, text: Column | str) -> Column:
-        """The token ids of a text column, array<int>."""
+    def encode(self, df: DataFrame, text: str = "text", into: str = "ids", decoded: str | None = None, drop_text: bool = False) -> DataFrame:
+        """df with a column of token ids, array<int>; with `decoded`, also the ids' raw bytes, binary."""
         shared, pattern = self.shared, self.pattern
-
-        @F.pandas_udf("array<int>")
-        def ids_of(texts: pd.Series) -> pd.Series:
+        carried = [c for c in df.columns if not (drop_text and c == text)]
+        taken = {c.lower() for c in carried}
+        for name in filter(None, (into, decoded)):
+            if name.lower() in taken:
+                raise ValueError(f"column {name} is taken; choose another name")
+        schema = df.select(*[f"`{c}`" for c in carried]).schema
+        schema = StructType([*schema.fields, StructField(into, ArrayType(IntegerType())), *([StructField(decoded, BinaryType())] if decoded else [])])
+
+        def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codec = _codec(shared, pattern)
-            return pd.Series([codec.encode(t) for t in texts], dtype=object)
-
-        return ids_of(F.col(text) if isinstance(text, str) else text)
+            for batch in batches:
+                for at in range(0, batch.num_rows, SLICE):
+                    part = batch.slice(at, SLICE)
+                    rows = [codec.encode(t) for t in part.column(text).to_pylist()]
+                    ends = np.cumsum([0, *map(len, rows)])
+                    arrays = [part.column(c) for c in carried]
+                    arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows))))
+                    if decoded:
+                        arrays.append(pa.array([codec.decode(r) for r in rows], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(arrays, [*carried, into, *([decoded] if decoded else [])])
+
+        return df.mapInArrow(encode, schema)
 
     def decode(self, ids: Column | str) -> Column:
         """The raw bytes of an array<int> column, binary."""

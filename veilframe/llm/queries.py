@@ -15,22 +15,6 @@ from .quality_rules import quality_measures
 from .sharding import interleave
 
 
-def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The language of every document."""
-    return identify(table(spark, sf_dir, "documents"))
-
-
-def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quality score of every document."""
-    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-
-
-def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compression bands over every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.select("doc_id", quality_measures("text").alias("q")).select("doc_id", "q.*")
-
-
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on 4-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), sketch=Sketch(width=4, percent=80))
@@ -44,15 +28,31 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, as digests."""
     pairs = BytePairs(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    encoded = table(spark, sf_dir, "documents").select("doc_id", pairs.encode("text").alias("ids"))
+    encoded = pairs.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), decoded="raw", drop_text=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(pairs.decode("ids"), 256).alias("decoded_sha256"),
+        F.sha2("raw", 256).alias("decoded_sha256"),
     )
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compression bands over every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", quality_measures("text").alias("q")).select("doc_id", "q.*")
+
+
 def queries() -> dict:
     return {
         "op2_minhash": op2_minhash,
