@@ -9,12 +9,20 @@ from pyspark.sql import functions as F
 from .bpe import BytePairs
 from .common import table
 from .langid import identify
+from .line_dedup import SQL as LINE_DEDUP_SQL
+from .line_dedup import drop_recurring_lines
 from .minhash import Sketch, near_duplicates
 from .quality_gam import classify
 from .quality_rules import quality_measures
 from .sharding import interleave
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of recurring templates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_recurring_lines(docs, counts=("n_lines", "n_dropped"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents on 4-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), sketch=Sketch(width=4, percent=80))
@@ -55,6 +63,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_minhash": op2_minhash,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
@@ -65,4 +74,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": LINE_DEDUP_SQL}
