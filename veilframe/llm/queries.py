@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .bpe import BytePairs
 from .common import table
 from .langid import identify
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import drop_recurring_lines
 from .minhash import Sketch, near_duplicates
+from .packing import best_fit
 from .quality_gam import classify
 from .quality_rules import quality_measures
 from .sharding import interleave
@@ -45,6 +47,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every row whose id is divisible by 50."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return identify(table(spark, sf_dir, "documents"))
@@ -55,6 +62,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of five permitted lengths."""
+    return best_fit(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression bands over every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -67,8 +79,10 @@ def queries() -> dict:
         "op2_minhash": op2_minhash,
         "op3_sharding": op3_sharding,
         "op4_bpe": op4_bpe,
+        "op5_ann": op5_ann,
         "op6_langid": op6_langid,
         "op7_quality": op7_quality,
+        "op8_packing": op8_packing,
         "op10_quality_rules": op10_quality_rules,
     }
 
