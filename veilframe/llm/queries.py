@@ -73,6 +73,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", quality_measures("text").alias("q")).select("doc_id", "q.*")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline of corpus_pipeline.py, beside the package."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -84,6 +91,7 @@ def queries() -> dict:
         "op7_quality": op7_quality,
         "op8_packing": op8_packing,
         "op10_quality_rules": op10_quality_rules,
+        "pipeline": pipeline,
     }
 
 
