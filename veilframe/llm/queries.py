@@ -14,6 +14,7 @@ from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import drop_recurring_lines
 from .minhash import Sketch, near_duplicates
 from .packing import best_fit
+from .pitman_yor import language_model_scores
 from .quality_gam import classify
 from .quality_rules import quality_measures
 from .sharding import interleave
@@ -67,6 +68,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit(table(spark, sf_dir, "documents"))
 
 
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hierarchical Pitman-Yor scores of all documents."""
+    return language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Compression bands over every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -90,6 +96,7 @@ def queries() -> dict:
         "op6_langid": op6_langid,
         "op7_quality": op7_quality,
         "op8_packing": op8_packing,
+        "op9_pitman_yor": op9_pitman_yor,
         "op10_quality_rules": op10_quality_rules,
         "pipeline": pipeline,
     }
