@@ -93,23 +93,29 @@ def birth_date_cap(birth: Column, days: Column, shifted_study: Column, years: in
     return F.when(moved.isNotNull(), F.date_format(F.greatest(moved, F.add_months(parse_date(shifted_study), -12 * years)), "yyyyMMdd"))
 
 
+def _uid(value: str | None, salt: str, prefix: str) -> str | None:
+    return None if value is None else (prefix + str(int.from_bytes(hashlib.sha512((value + salt).encode()).digest(), "big")))[:64]
+
+
 def stable_uid(value: Column, salt: str = "", prefix: str = UID_PREFIX) -> Column:
     """A unique id from the decimal digits of a 512-bit digest, 64 characters at most."""
 
     @F.pandas_udf("string")
     def digits(values: pd.Series) -> pd.Series:
-        known: dict[str, str] = {}
+        known = {v: _uid(v, salt, prefix) for v in values.unique()}
+        return values.map(known.get)
+
+    return digits(value)
 
-        def one(v: str | None) -> str | None:
-            if v is None:
-                return None
-            if v not in known:
-                known[v] = (prefix + str(int.from_bytes(hashlib.sha512((v + salt).encode()).digest(), "big")))[:64]
-            return known[v]
 
-        return values.map(one)
+def stable_uids(values: Column, salt: str = "", prefix: str = UID_PREFIX) -> Column:
+    """The same for an array: Python functions are not allowed inside a lambda."""
 
-    return digits(value)
+    @F.pandas_udf("array<string>")
+    def digits(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda row: None if row is None else [_uid(v, salt, prefix) for v in row])
+
+    return digits(values)
 
 
 def random_uuid() -> Column:

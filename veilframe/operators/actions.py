@@ -13,6 +13,7 @@ selected.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -109,6 +110,10 @@ BUILT_IN: dict[str, Function] = {
 }
 
 
+#: Calls whose digits need Python: salted or not, with an own prefix or not.
+UID_CALL = re.compile(r"deid_func:pydicom_uuid(_salt)?(?: prefix=(\S+))?$")
+
+
 def group_values(rules: tuple[Rule, ...], get: Callable[[Selector], list[Column]]) -> Column:
     """The distinct values of a values group, read before any action."""
     parts = []
@@ -280,6 +285,13 @@ class _Tall:
             blank = {"uid": first.field, "name": first.field, "keyword": first.field, "human": first.field, "tag": "", "stripped": "", "vr": "LO", "grp": 0, "elem": 0, "depth": 0, "is_filemeta": False, "is_private": False, KEY: f"\n{first.field.lower()}\n"}
             made = F.struct(*[(new.cast("string") if f.name == "value" else F.lit(blank.get(f.name)).cast(f.dataType)).alias(f.name) for f in kind.fields])
             out = F.when(new.isNull(), elements).when(there, changed).otherwise(F.concat(elements, F.array(made)))
+        elif first.kind == "REPLACE" and (uid := UID_CALL.match(first.value or "")):
+            salt = _need_salt({"salt": engine.salt}) if uid[1] else ""
+            made = V.stable_uids(F.transform(elements, lambda e: e["value"]), salt, uid[2] or V.UID_PREFIX)
+            self.df = self.df.withColumn("__uids", made)
+            out = F.zip_with(elements, F.col("__uids"), lambda e, u: F.when(self.hit(actions, e), e.withField("value", u)).otherwise(e))
+            self.df = self.df.withColumn(self.column, out).drop("__uids")
+            return
         else:
             out = F.transform(elements, lambda e: F.when(self.hit(actions, e), e.withField("value", self.rewritten(first, e))).otherwise(e))
         self.df = self.df.withColumn(self.column, out)

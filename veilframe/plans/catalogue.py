@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,10 +12,13 @@ from ..functions import values as V
 from ..operators import predicates as P
 from ..operators import regions as R
 from ..operators.actions import Engine, as_wide, group_values
+from ..operators.pixels import count_kept, mask_frames
 from ..operators.recipe import Recipe
 from ..operators.selectors import Field, Selector, keyed, value_matches
 from ..sources import views
+from ..sources.files import scratch_dir
 from ..sources.views import FIELDS, FIELDS_SQL, INST_SQL, elements, inst, table
+from ..streaming.stream import append_first, audit_counts, rewrite, run_available, stream_table
 from . import batch
 
 SALT = "unit-test-salt"
@@ -623,3 +627,45 @@ def text_value_list(spark, sf_dir):
     """Texts that hold a value of a list, as literals."""
     wanted = F.array(F.lit("user"), F.lit("assistant"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", value_matches(F.col("text"), wanted).alias("hit"))
+
+
+@query(over_inst("SELECT src_path, (48 * 64 - greatest(0, least(48, y0)) * 64)::BIGINT AS kept FROM inst WHERE k2 = 1"))
+def pixels_mask_apply(spark, sf_dir):
+    """Frames of 48 x 64 bytes, all ones, with the rows above y0 masked; counted again from the masked bytes."""
+    frame = F.lit(bytes([1]) * (48 * 64))
+    boxes = F.array(R.box(0, 0, 0, 64, F.greatest(F.lit(0), F.col("y0"))))
+    rows = inst(spark, sf_dir).where("k2 = 1").select("src_path", F.lit(48).alias("n_rows"), F.lit(64).alias("n_cols"), boxes.alias("boxes"), frame.alias("pixels"))
+    return mask_frames(rows).select("src_path", count_kept(F.col("pixels")).alias("kept"))
+
+
+def _streamed(spark, stream, key):
+    """Runs a stream to its end into a table of the shared folder, and reads that."""
+    root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    run_available(stream, f"{root}/checkpoint", append_first(f"{root}/out", key) if key else _append(f"{root}/out"))
+    return spark.read.parquet(f"{root}/out")
+
+
+def _append(path):
+    return lambda df, epoch: df.write.mode("append").parquet(path)
+
+
+@query("SELECT o_orderkey, '' AS o_orderpriority, strftime(o_orderdate::DATE + 3, '%Y%m%d') AS StudyDate FROM orders")
+def stream_header_rewrite(spark, sf_dir):
+    """A compiled recipe on a file stream of orders."""
+    orders = stream_table(spark, f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority", F.date_format("o_orderdate", "yyyyMMdd").alias("StudyDate"))
+    engine = _engine("BLANK o_orderpriority\nJITTER StudyDate 3\n")
+    out = rewrite(orders, engine, [Field("o_orderpriority"), Field("StudyDate", "00080020", "DA")])
+    return _streamed(spark, out, "o_orderkey")
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def audit_window(spark, sf_dir):
+    """The windowed audit as a batch over the same function; a stream adds the watermark's delay only."""
+    return audit_counts(table(spark, sf_dir, "events")).withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query()
+def stream_audit_window(spark, sf_dir):
+    """Closed hourly windows of the event stream; those behind the watermark are out when it ends."""
+    events = stream_table(spark, f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _streamed(spark, audit_counts(events), None)
