@@ -103,7 +103,7 @@ def best_fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     items = items.withColumn("end", F.least(F.col("start") + longest, "size"))
     items = items.withColumn("group_id", F.pmod(F.xxhash64("id", "crc", "piece"), F.lit(groups)))
 
-    def pack_group(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack_group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         size = (rows["end"] - rows["start"]).to_numpy()
         ids = rows["id"].to_numpy(dtype=object)
         number = np.array([-1 if pd.isna(i) else int(i) for i in ids], np.int64)
