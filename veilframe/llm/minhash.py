@@ -15,8 +15,9 @@
    hub did not see. Small ones (up to `small` members) are compared in full, which is
    linear in the entries. Members of larger ones meet in blocks of bounded size as
    sketches, and only pairs of different components whose sketches agree in nearly the
-   share that the similarity implies (three deviations below it) are confirmed; each
-   such pair is named by the first band that it shares, so only once.
+   share that the similarity implies (three deviations below it) are looked at, each in
+   the first band that it shares. Sets of up to `whole` shingles come along and decide
+   at once; larger ones are left to the confirmation.
 
 Band buckets find a pair of similarity 0.8 with probability 1 - (1 - 0.8^4)^32, over
 0.9999999; step 6 may miss one in a thousand of the very few links (one in two thousand
@@ -60,6 +61,7 @@ class Sketch:
     probes: int = 512
     small: int = 8
     block: int = 1024
+    whole: int = 512
 
     @property
     def bins(self) -> int:
@@ -188,14 +190,27 @@ def _confirm(s: Sketch):
     return confirm
 
 
+def _halves(s: Sketch):
+    """Text -> the shingle set as 32-bit halves of its hashes; null for sets over `whole`."""
+
+    @F.pandas_udf("binary")
+    def halves(texts: pd.Series) -> pd.Series:
+        hashes = WordHashes()
+        sets = (shingle_set(t, s.width, hashes) for t in texts)
+        return pd.Series([x.astype(np.uint32).tobytes() if len(x) <= s.whole else None for x in sets], dtype=object)
+
+    return halves
+
+
 def _alike(s: Sketch):
     """applyInPandas over blocks (k, i, j): pairs of different components whose sketches nearly agree."""
 
-    def alike(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def alike(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         k, i, j = (int(x) for x in key)
         band = k % s.bands
         block, rep, label, n = (rows[c].to_numpy() for c in ("own", "rep", "label", "n"))
         mins = np.frombuffer(b"".join(rows["mins"]), np.uint16).reshape(len(rows), s.bins)
+        sets = [None if h is None else np.frombuffer(h, np.uint32) for h in rows["halves"]]
         left = np.flatnonzero(block == i)
         right = np.flatnonzero(block == j)
         out_a, out_b = [], []
@@ -211,9 +226,16 @@ def _alike(s: Sketch):
             own = s.bins * -np.expm1(-np.minimum(n[other], n[x]) / s.bins)
             fit = same.mean(axis=1) >= least - 3 * np.sqrt(least * (1 - least) / own)
             other, same = other[fit], same[fit]
-            first = same.reshape(len(other), s.bands, s.rows).all(axis=2).argmax(axis=1) == band
-            out_a.append(np.full(int(first.sum()), rep[x]))
-            out_b.append(rep[other[first]])
+            other = other[same.reshape(len(other), s.bands, s.rows).all(axis=2).argmax(axis=1) == band]
+            # Where both sets came along, they decide; a rare equal half of a hash only adds a pair to be confirmed.
+            known = other[[sets[y] is not None for y in other]] if sets[x] is not None else other[:0]
+            if len(known):
+                sizes = np.fromiter((len(sets[y]) for y in known), np.int64, len(known))
+                both = np.add.reduceat(np.isin(np.concatenate([sets[y] for y in known]), sets[x]).astype(np.int64), np.cumsum(sizes) - sizes)
+                apart = known[100 * both < s.percent * (sizes + len(sets[x]) - both)]
+                other = np.setdiff1d(other, apart, assume_unique=True)
+            out_a.append(np.full(len(other), rep[x]))
+            out_b.append(rep[other])
         a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
@@ -263,7 +285,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = mixed.where(F.col("size") <= s.small).select("k", "rep", "n", "label")
     other = small.select("k", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label")])
     pairs = small.join(other, "k").where("label <> label2 and rep > rep2").where(_close("n", "n2", s)).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
-    large = mixed.where(F.col("size") > s.small).join(sig.select(F.col("id").alias("rep"), "mins"), "rep")
+    large = mixed.where(F.col("size") > s.small)
+    seen = large.select(F.col("rep").alias("id")).distinct()
+    halves = scratch.write(texts.join(seen, "id", "left_semi").select(F.col("id").alias("rep"), _halves(s)("text").alias("halves")), "halves")
+    large = large.join(sig.select(F.col("id").alias("rep"), "mins"), "rep").join(halves, "rep")
     blocks = F.ceil(F.col("size") / s.block).cast("int")
     large = large.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
@@ -271,7 +296,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = confirmed(pairs.union(met), "late-links")
     if not found.isEmpty():
         labels = components(links.union(found), scratch, "round1")
-    for name in ("live", "texts", "mixed"):
+    for name in ("live", "texts", "mixed", "halves"):
         scratch.drop(name)
 
     label = sets.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("hi", "lo", F.coalesce("label", "rep").alias("component_id"))
