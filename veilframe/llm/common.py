@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -36,12 +37,18 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder to cut lineage, and deleted when done.
 
-    A written table survives the loss of any executor, unlike cached blocks.
+    A written table survives the loss of any executor, unlike cached blocks. What a lazy
+    result still reads stays until the driver's session ends, and is deleted then.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/veilframe-{uuid.uuid4().hex}"
+        atexit.register(self._end)
+
+    def _end(self) -> None:
+        if self.spark.sparkContext._jsc is not None:  # a stopped session cannot reach the folder any more
+            self.drop()
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
