@@ -97,7 +97,7 @@ def _need_salt(extras: dict) -> str:
     return extras["salt"]
 
 
-#: Functions of `deid_func:`; each gets the value, the field, a getter of other fields, and extras.
+#: The prefix `deid_func:` and the names of its functions. Each gets the value, the field, a getter of other fields, and extras.
 BUILT_IN: dict[str, Function] = {
     "id_hash": lambda v, f, get, x: V.id_hash(get("PatientID"), _need_salt(x)),
     "jitter": lambda v, f, get, x: F.coalesce(V.shift(v, V.day_offset(get("PatientID"), _need_salt(x)), f.vr), v),
