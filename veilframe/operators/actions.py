@@ -54,8 +54,8 @@ class Engine:
     def _unremovable(self) -> list[Selector]:
         return [Selector.parse(a.field) for a in self.recipe.header if a.kind in ("REPLACE", "JITTER") and not a.field.startswith(("values:", "fields:"))]
 
-    def value(self, text: str | None, now: Column, meta: Field, get: Callable[[str], Column]) -> Column | None:
-        """A value expression; None for one without effect."""
+    def value(self, text: str | None, now: Column, meta: Field, get: Callable[[str], Column], days: Column | None = None) -> Column | None:
+        """A value expression; None for one without effect. days: the record's offset, where it is a column already."""
         if text is None:
             return None
         head, _, rest = text.partition(":")
@@ -68,7 +68,8 @@ class Engine:
             known = {**BUILT_IN, **self.functions} if head == "func" else BUILT_IN
             if parts[0] not in known:
                 raise KeyError(f"no function {parts[0]}")
-            return known[parts[0]](now, meta, get, {"salt": self.salt, **extras})
+            offset = lambda: days if days is not None else V.day_offset(get("PatientID"), _need_salt({"salt": self.salt}))
+            return known[parts[0]](now, meta, get, {"salt": self.salt, "days": offset, **extras})
         return V.convert(F.lit(text), meta.vr)
 
     # Wide form.
@@ -100,8 +101,8 @@ def _need_salt(extras: dict) -> str:
 #: The prefix `deid_func:` and the names of its functions. Each gets the value, the field, a getter of other fields, and extras.
 BUILT_IN: dict[str, Function] = {
     "id_hash": lambda v, f, get, x: V.id_hash(get("PatientID"), _need_salt(x)),
-    "jitter": lambda v, f, get, x: F.coalesce(V.shift(v, V.day_offset(get("PatientID"), _need_salt(x)), f.vr), v),
-    "jitter_birthdate_cap_89": lambda v, f, get, x: F.coalesce(V.birth_date_cap(v, V.day_offset(get("PatientID"), _need_salt(x)), get("StudyDate")), v),
+    "jitter": lambda v, f, get, x: F.coalesce(V.shift(v, x["days"](), f.vr), v),
+    "jitter_birthdate_cap_89": lambda v, f, get, x: F.coalesce(V.birth_date_cap(v, x["days"](), get("StudyDate")), v),
     "basic_uuid": lambda v, f, get, x: V.random_uuid(),
     "suffix_uuid": lambda v, f, get, x: V.suffixed_uuid(f.keyword),
     "dicom_uuid": lambda v, f, get, x: V.random_uid(x.get("org_root", "1.2.826")),
@@ -260,13 +261,31 @@ class _Tall:
         return (any_of(plain, e) | out) & self.allowed(e)
 
     def get(self, name: str) -> Column:
+        if f"__get_{name}" in self.df.columns:
+            return F.col(f"__get_{name}")
         return F.try_element_at(F.filter(F.col(self.column), lambda e: (e["keyword"] == name) & (e["depth"] == 0)), F.lit(1))["value"]
 
+    def hoist(self, text: str | None) -> list[str]:
+        """What a built-in function reads of the record, as columns: inside a lambda it would be found again for each use."""
+        if not text or not text.startswith("deid_func:"):
+            return []
+        made = {f"__get_{n}": self.get(n) for n in ("PatientID", "StudyDate")}
+        self.df = self.df.withColumns(made)
+        if "jitter" in text:
+            self.df = self.df.withColumn("__days", V.day_offset(self.get("PatientID"), _need_salt({"salt": self.engine.salt})))
+            made["__days"] = None
+        return list(made)
+
     def flush(self) -> None:
         actions, self.run_of = self.run_of, []
         if not actions:
             return
         first, engine, elements = actions[0], self.engine, F.col(self.column)
+        hoisted = self.hoist(first.value)
+        self.apply(actions, first, engine, elements)
+        self.df = self.df.drop(*hoisted)
+
+    def apply(self, actions: list[Action], first: Action, engine: Engine, elements: Column) -> None:
         if first.kind == "REMOVE":
             gone = lambda e: self.hit(actions, e) & ~any_of(engine._unremovable(), e)
             if first.value is not None:
@@ -299,8 +318,13 @@ class _Tall:
     def rewritten(self, action: Action, e: Column) -> Column:
         old = e["value"]
         if action.kind == "REPLACE":
-            new = self.engine.value(action.value, old, Field(action.field), self.get)
-            return old if new is None else F.coalesce(new.cast("string"), old)
+            days = F.col("__days") if "__days" in self.df.columns else None
+            new = self.engine.value(action.value, old, Field(action.field), self.get, days)
+            if new is None:
+                return old
+            if days is not None:  # a date needs no look at the other formats
+                new = F.when(e["vr"] == "DA", self.engine.value(action.value, old, Field(action.field, vr="DA"), self.get, days)).otherwise(new)
+            return F.coalesce(new.cast("string"), old)
         if action.kind == "JITTER":
             days = self.engine.value(action.value, old, Field(action.field), self.get)
             if days is None:
