@@ -15,7 +15,8 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from veilframe.llm import ann, bpe, langid, line_dedup, minhash, packing, pitman_yor, quality_gam, quality_rules, sharding
-from veilframe.llm.common import LOWER
+from veilframe.llm import components as linked
+from veilframe.llm.common import LOWER, Scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n int, kept string, rep long, label string, k long"
 
@@ -135,6 +136,16 @@ def test_minhash_edges(edge, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+def test_components_of_long_chains(spark):
+    """A chain in the order of its ids, one in mixed order, and a ring with a tail."""
+    rng = random.Random(4)
+    mixed = rng.sample(range(1000, 1200), 150)
+    links = [*zip(range(150), range(1, 151)), *zip(mixed, mixed[1:]), *((2000 + i, 2000 + (i + 1) % 30) for i in range(30)), (2007, 1999), (5, 5)]
+    df = spark.createDataFrame(links, "a long, b long").coalesce(2)
+    got = {r["v"]: r["label"] for r in linked.components(df, Scratch(spark), "chains").collect()}
+    assert got == dict.fromkeys(range(151), 0) | dict.fromkeys(mixed, min(mixed)) | dict.fromkeys([1999, *range(2000, 2030)], 1999)
+
+
 def test_densified_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     probes = minhash.probe_table(128, 512)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,16 +17,19 @@ def _undirected(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(v, label): for each linked vertex the smallest vertex that it reaches.
 
-    links: columns a and b, long. Each round points every vertex to the smallest in
-    its closed neighbourhood and contracts the links along the pointers; rounds
-    grow with the logarithm of the longest chain. Links are pre-aggregated before
-    each shuffle, and every round is a written table, so nothing is recomputed from
-    the start when an executor is lost.
+    links: columns a and b, long. Each round orders the vertices by another hash, points
+    every vertex to the first in its closed neighbourhood and contracts the links along
+    the pointers. The last vertex of the order always goes, so the rounds end, and as no
+    chain runs along every order, they are expected to grow with the logarithm of the
+    vertices. Links are pre-aggregated before each shuffle, and every round is a written
+    table, so nothing is recomputed from the start when an executor is lost.
     """
     links = scratch.write(links.where("a <> b").select("a", "b").distinct(), f"{name}-links")
     label = None
-    for k in range(64):
-        least = _undirected(links).groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+    for k in count():
+        order = lambda c, k=k: F.xxhash64(c, F.lit(k))  # noqa: E731  one-to-one in c, so no ties
+        least = _undirected(links).groupBy("v").agg(F.min_by("u", order("u")).alias("m"))
+        least = least.select("v", F.when(order("v") < order("m"), F.col("v")).otherwise(F.col("m")).alias("m"))
         least = scratch.write(least, f"{name}-least-{k}")
         if label is None:
             label = least.withColumnRenamed("m", "label")
@@ -37,5 +42,5 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         links = links.join(by_a, "a").join(by_b, "b").where("ma <> mb").select(F.greatest("ma", "mb").alias("a"), F.least("ma", "mb").alias("b"))
         links = scratch.write(links.distinct(), f"{name}-links-{k}")
         if links.isEmpty():
-            return label
-    raise RuntimeError("components did not settle")
+            smallest = scratch.write(label.groupBy("label").agg(F.min("v").alias("least")), f"{name}-smallest")
+            return label.join(smallest, "label").select("v", F.col("least").alias("label"))
