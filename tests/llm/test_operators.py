@@ -257,6 +257,16 @@ def test_ann_edges(spark):
     assert ann.nearest(df.where("false"), F.col("id") % 50 == 0).count() == 0
 
 
+def test_ann_repeated_ids(spark):
+    """Copies of one near id, plain and scaled, take one place of the five."""
+    turn = lambda a: [math.cos(a), math.sin(a)]
+    for scale in (1.0, 2.0):
+        rows = [(0, turn(0.0)), *((7, [x * scale**i for x in turn(0.1)]) for i in range(6)), *((i, turn(0.1 + i / 10)) for i in range(1, 7))]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = [(r["rank"], r["vec_id"]) for r in ann.nearest(df, F.col("id") == 0, 5).orderBy("rank").collect()]
+        assert got == [(1, 7), (2, 1), (3, 2), (4, 3), (5, 4)]
+
+
 # Language identification.
 
 

@@ -176,20 +176,30 @@ def fit_router(x: np.ndarray, settings: Settings) -> tuple[Router, int]:
 
 
 def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best k of a block for each query: ids and exact cosines, ties to the smaller id."""
+    """Best k of a block for each query: distinct ids and exact cosines, ties to the smaller id."""
+    most = 1
+    if len(np.unique(ids)) < len(ids):
+        raw = np.hstack([np.ascontiguousarray(x).view(np.uint8).reshape(len(ids), -1) for x in (ids, v)])
+        kept = np.sort(np.unique(raw.view(f"V{raw.shape[1]}").ravel(), return_index=True)[1])
+        ids, v = ids[kept], v[kept]
+        # Vectors that an id still has beside each other may score alike; so many rows hold k ids at least.
+        most = int(np.unique(ids, return_counts=True)[1].max())
     qn, vn = np.sqrt(np.einsum("ij,ij->i", q, q)), np.sqrt(np.einsum("ij,ij->i", v, v))
     unit_v = v / vn[:, None]
     out_q, out_v, out_s = [], [], []
     for a in range(0, len(q), 256):
         rough = (q[a : a + 256] / qn[a : a + 256, None]) @ unit_v.T
         rough[q_ids[a : a + 256, None] == ids[None, :]] = -np.inf
-        kk = min(k, len(ids))
+        kk = min(k * most, len(ids))
         floor = np.partition(rough, len(ids) - kk, axis=1)[:, len(ids) - kk]
         # Rounding in the product never decides: all within a margin are ranked again.
         row, col = np.nonzero((rough >= floor[:, None] - 1e-9) & np.isfinite(rough))
         exact = np.einsum("ij,ij->i", q[a + row], v[col]) / (qn[a + row] * vn[col])
         order = np.lexsort((ids[col], -exact, row))
         row, col, exact = row[order], col[order], exact[order]
+        again = (row[1:] == row[:-1]) & (ids[col[1:]] == ids[col[:-1]]) & (exact[1:] == exact[:-1])
+        fresh = np.append(True, ~again)[: len(row)]
+        row, col, exact = row[fresh], col[fresh], exact[fresh]
         place = np.arange(len(row)) - np.searchsorted(row, row)
         top = place < k
         out_q.append(q_ids[a + row[top]])
