@@ -497,6 +497,17 @@ def test_bands_reject_both_ends():
     assert quality_rules.measure(repetitive, bands, c)[-2] == "repetitive"
 
 
+def test_chunks_reach_the_end():
+    import zstandard
+
+    rng, c, bands = random.Random(2), zstandard.ZstdCompressor(level=3), quality_rules.Bands()
+    prose = " ".join("".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 8))) for _ in range(3000))[: bands.chunk_bytes]
+    head, tail = prose, " ".join(["again and"] * 500)[: bands.chunk_bytes - 1]
+    at = quality_rules.COLUMNS.index("chunks")
+    assert quality_rules.measure(head, bands, c)[at : at + 2] == (1, 0)
+    assert quality_rules.measure(head + tail, bands, c)[at : at + 2] == (2, 1)
+
+
 def test_digest_columns(spark, encoding):
     from veilframe.llm.queries import queries
 

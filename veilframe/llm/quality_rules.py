@@ -106,8 +106,10 @@ def measure(text: str | None, bands: Bands, compressor) -> tuple:
     ratio = len(raw) / len(compressor.compress(raw)) if raw else 0.0
     least, most = next((lo, hi) for limit, lo, hi in bands.whole if limit is None or len(raw) < limit)
     step = bands.chunk_bytes
-    # Only full chunks: the band of a chunk holds for one length.
+    # Only full chunks, as the band of a chunk holds for one length; the last one is aligned to the end.
     chunks = [raw[i : i + step] for i in range(0, len(raw) - step + 1, step)]
+    if chunks and len(raw) % step:
+        chunks.append(raw[-step:])
     rates = [step / len(compressor.compress(c)) for c in chunks]
     bad = sum(not bands.chunk_least <= r <= bands.chunk_most for r in rates)
     if failed:
