@@ -47,9 +47,13 @@ def id_hash(value: Column, salt: str) -> Column:
     return F.substring(F.sha2(F.concat(F.lit(salt), value).cast("binary"), 256), 1, 16)
 
 
-def day_offset(patient: Column, salt: str) -> Column:
-    """Days in +-[1, 365], the same for all dates of a patient."""
-    digest = F.sha2(F.concat(F.lit(salt), F.lit("|"), patient).cast("binary"), 256)
+def offset_digest(patient: Column, salt: str) -> Column:
+    """What a patient's offset is folded from; make it a column where the offset is wanted for many dates."""
+    return F.sha2(F.concat(F.lit(salt), F.lit("|"), patient).cast("binary"), 256)
+
+
+def offset_of(digest: Column) -> Column:
+    """Days in +-[1, 365] from a digest, which is read nine times."""
     rest = F.lit(0).cast("bigint")
     for i in range(8):
         rest = (rest * (1 << 32) + F.conv(F.substring(digest, 8 * i + 1, 8), 16, 10).cast("bigint")) % 365
@@ -57,6 +61,11 @@ def day_offset(patient: Column, salt: str) -> Column:
     return (F.when(odd, -1).otherwise(1) * (rest + 1)).cast("int")
 
 
+def day_offset(patient: Column, salt: str) -> Column:
+    """Days in +-[1, 365], the same for all dates of a patient."""
+    return offset_of(offset_digest(patient, salt))
+
+
 def parse_date(value: Column) -> Column:
     """yyyyMMdd or null; never throws."""
     return F.when(F.length(value) == 8, F.try_to_date(value, "yyyyMMdd"))
@@ -76,8 +85,10 @@ def shift_datetime(value: Column, days: Column) -> Column:
     return F.concat(shift_date(parts, days), clock, F.lit("."), F.rpad(part, 6, "0"), zone)
 
 
-def shift(value: Column, days: Column, vr: str) -> Column:
-    """Moved by VR: DA, DT, or for others the first of the formats that fits."""
+def shift(value: Column, days: Column, vr: str | Column) -> Column:
+    """Moved by VR (known, or a column): DA, DT, or for others the first of the formats that fits."""
+    if isinstance(vr, Column):
+        return F.when(vr == "DA", shift(value, days, "DA")).when(vr == "DT", shift(value, days, "DT")).otherwise(shift(value, days, ""))
     if vr == "DA":
         return shift_date(value, days)
     if vr == "DT":
@@ -122,8 +133,8 @@ def random_uuid() -> Column:
     return F.uuid()
 
 
-def suffixed_uuid(field: str) -> Column:
-    return F.concat(F.lit(field.lower() + "-"), F.uuid())
+def suffixed_uuid(field: str | Column) -> Column:
+    return F.concat(F.lower(field if isinstance(field, Column) else F.lit(field)), F.lit("-"), F.uuid())
 
 
 def random_uid(root: str = "1.2.826") -> Column:
@@ -132,8 +143,10 @@ def random_uid(root: str = "1.2.826") -> Column:
     return F.substring(F.concat(F.lit(root + "."), digits), 1, 64)
 
 
-def convert(value: Column, vr: str) -> Column:
+def convert(value: Column, vr: str | Column) -> Column:
     """A replacement as the field's VR takes it; what cannot be converted is blank, never the old value."""
+    if isinstance(vr, Column):
+        return F.when(vr.isin(*FLOAT_VRS), convert(value, "FL")).when(vr == "UV", convert(value, "UV")).when(vr.isin(*INT_VRS), convert(value, "SL")).otherwise(value)
     if vr in FLOAT_VRS:
         return F.coalesce(value.try_cast("double").cast("string"), F.lit(""))
     if vr in INT_VRS:

@@ -45,7 +45,9 @@ def ends_with(value: Column, text: str) -> Column:
 
 
 def empty(value: Column) -> Column:
-    return _sure(value == "")
+    """'' in a text; 0 in a number; no entries in an array."""
+    text = value.cast("string")
+    return _sure(F.when(F.typeof(value) == "string", text == "").otherwise(text.isin("", "0", "0.0", "[]")))
 
 
 def test_column(test: Test, resolve: Resolve) -> Column:

@@ -14,9 +14,9 @@ from ..operators import regions as R
 from ..operators.actions import Engine, as_wide, group_values
 from ..operators.pixels import count_kept, mask_frames
 from ..operators.recipe import Recipe
-from ..operators.selectors import Field, Selector, keyed, value_matches
+from ..operators.selectors import Field, Selector, selected, value_matches
 from ..sources import views
-from ..sources.files import scratch_dir
+from ..sources.scratch import shared_dir
 from ..sources.views import FIELDS, FIELDS_SQL, INST_SQL, elements, inst, table
 from ..streaming.stream import append_first, audit_counts, rewrite, run_available, stream_table
 from . import batch
@@ -232,7 +232,7 @@ def reason_string(spark, sf_dir):
 def _selector(key: str, expression: str, sql: str) -> None:
     def run(spark, sf_dir):
         tall = elements(inst(spark, sf_dir))
-        hit = F.filter(keyed(F.col("elements")), Selector.parse(expression).column)
+        hit = selected(F.col("elements"), Selector.parse(expression))
         return tall.select("src_path", F.explode(hit).alias("e")).groupBy(F.col("e.keyword").alias("keyword")).agg(F.count("*").alias("n"))
 
     run.__name__ = key
@@ -640,7 +640,7 @@ def pixels_mask_apply(spark, sf_dir):
 
 def _streamed(spark, stream, key):
     """Runs a stream to its end into a table of the shared folder, and reads that."""
-    root = f"{scratch_dir(spark)}/stream-{uuid.uuid4().hex}"
+    root = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     run_available(stream, f"{root}/checkpoint", append_first(f"{root}/out", key) if key else _append(f"{root}/out"))
     return spark.read.parquet(f"{root}/out")
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import zipfile
 from collections.abc import Iterator
 
@@ -12,19 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; a local one only where it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="veilframe-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
 def discover(spark: SparkSession, root: str, pattern: str = "*", content: bool = False) -> DataFrame:
-    """All files below a folder, sorted by path; contents are only read when asked for."""
+    """All files below a folder. The listing is sorted by path; contents, read only when asked for, stay where they are, unsorted."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    return files.select("path", "modificationTime", "length", *(["content"] if content else [])).orderBy("path")
+    listed = files.select("path", "modificationTime", "length", *(["content"] if content else []))
+    return listed if content else listed.orderBy("path")
 
 
 def sample_files(files: DataFrame, n: int, seed: int = 0) -> DataFrame:

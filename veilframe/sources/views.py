@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import Scratch, spread
+
 #: Fields of a record in wide form, in tag order: keyword, tag, VR, human name.
 FIELDS = (
     ("SOPClassUID", "00080016", "UI", "SOP Class UID"),
@@ -72,7 +74,7 @@ def inst(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record view; Catalyst prunes the joins that a query does not need columns of."""
     lineitem, orders, customer, supplier, part = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "part"))
     joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lineitem).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -142,15 +144,16 @@ def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ranked(df: DataFrame, by: str, name: str) -> DataFrame:
-    """df with a global 1-based rank by a text column, without a single-task sort.
+    """df with a global 1-based rank by a column, without a window over more than the partitions' counts.
 
-    Rows are counted by a coarse prefix bucket, the bucket counts give first ranks, and
-    rows are numbered inside their bucket.
+    Rows are sorted by ranges sampled from the data, so that a common prefix crowds no task, and written with
+    their number inside their partition; a partition's first rank is the sum of the counts before it.
     """
-    bucket = F.substring(F.col(by), 1, 8)
-    rows = df.withColumn("__bucket", bucket)
-    counts = rows.groupBy("__bucket").agg(F.count("*").alias("__n"))
-    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
-    inside = Window.partitionBy("__bucket").orderBy(by)
-    return rows.join(first, "__bucket").withColumn(name, F.col("__first") + F.row_number().over(inside)).drop("__bucket", "__first")
+    at = F.monotonically_increasing_id()
+    rows = df.orderBy(by).select("*", F.shiftright(at, 33).alias("__part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("__nth"))
+    rows = Scratch(df.sparkSession).write(rows, "ranked")
+    counts = rows.groupBy("__part").agg(F.count("*").alias("__n"))
+    # One row for each range partition: their number is a setting, not a share of the data.
+    before = F.transform(F.col("all"), lambda x: F.struct(x["__part"].alias("__part"), F.aggregate(F.filter("all", lambda y: y["__part"] < x["__part"]), F.lit(0).cast("long"), lambda s, y: s + y["__n"]).alias("__first")))
+    first = counts.agg(F.collect_list(F.struct("__part", "__n")).alias("all")).select(F.inline(before))
+    return rows.join(F.broadcast(first), "__part").withColumn(name, F.col("__first") + F.col("__nth") + 1).drop("__part", "__nth", "__first")
