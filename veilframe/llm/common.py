@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import Scratch, scope, shared_dir, spread
+
+__all__ = ["LOWER", "Scratch", "WORD_SEPARATORS", "copies", "fold", "free_name", "lower_words_of", "scope", "shared_dir", "spread", "table", "words_of"]
+
 #: Separators of words in every contract: space and the ASCII controls 9 to 13.
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 
@@ -17,48 +17,15 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only where the cluster names none (as in tests) is a local folder made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    made = "file://" + tempfile.mkdtemp(prefix="veilframe-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
-
-
-class Scratch:
-    """Tables written to the shared folder to cut lineage, and deleted when done.
-
-    A written table survives the loss of any executor, unlike cached blocks. What a lazy
-    result still reads stays until the driver's session ends, and is deleted then.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/veilframe-{uuid.uuid4().hex}"
-        atexit.register(self._end)
-
-    def _end(self) -> None:
-        if self.spark.sparkContext._jsc is not None:  # a stopped session cannot reach the folder any more
-            self.drop()
+    """One of the input tables, over all cores."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str = "") -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def copies(rows: DataFrame, most: int, into: str = "copies", part: str = "copy_part") -> DataFrame:
+    """Equal rows as one row with their number, in parts of at most `most`, so that no task meets all of them."""
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias(into))
+    starts = F.posexplode(F.sequence(F.lit(0).cast("long"), F.col(into) - 1, F.lit(most).cast("long"))).alias(part, "__from")
+    return counted.select("*", starts).withColumn(into, F.least(F.col(into) - F.col("__from"), F.lit(most).cast("long"))).drop("__from")
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
