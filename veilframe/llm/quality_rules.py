@@ -2,7 +2,8 @@
 
 zstandard ratios over the whole document and over fixed chunks reject repetitive
 (high ratio) or incompressible (low ratio) text. Limits depend on the length,
-because short text compresses worse than long text of the same kind. Each row is
+because short text compresses worse than long text of the same kind; so has the size of
+a chunk, and a text too short for the smallest chunk is one chunk itself. Each row is
 judged alone inside one Arrow batch, so the operator needs no shuffle, and the
 lost work of an executor is simply redone.
 
@@ -56,9 +57,12 @@ class Bands:
         (65536, 1.5, 2.6),
         (None, 1.5, 2.8),
     )
-    chunk_bytes: int = 4096
-    chunk_least: float = 1.25
-    chunk_most: float = 2.33
+    #: (bytes from which on a text is cut so, bytes of a chunk, least ratio, most ratio), longest first.
+    chunks: tuple[tuple[int, int, float, float], ...] = (
+        (4096, 4096, 1.25, 2.33),
+        (1024, 1024, 1.25, 2.08),
+        (256, 256, 1.0, 1.8),
+    )
     bad_share: float = 0.34
     min_words: int = 10
     repeat_percent: int = 20
@@ -105,13 +109,16 @@ def measure(text: str | None, bands: Bands, compressor) -> tuple:
     failed = len(words) < bands.min_words or 100 * repeats > bands.repeat_percent * len(words)
     ratio = len(raw) / len(compressor.compress(raw)) if raw else 0.0
     least, most = next((lo, hi) for limit, lo, hi in bands.whole if limit is None or len(raw) < limit)
-    step = bands.chunk_bytes
-    # Only full chunks, as the band of a chunk holds for one length; the last one is aligned to the end.
-    chunks = [raw[i : i + step] for i in range(0, len(raw) - step + 1, step)]
-    if chunks and len(raw) % step:
-        chunks.append(raw[-step:])
-    rates = [step / len(compressor.compress(c)) for c in chunks]
-    bad = sum(not bands.chunk_least <= r <= bands.chunk_most for r in rates)
+    chunks, low, high = [raw], least, most
+    for from_bytes, step, low_of, high_of in bands.chunks:
+        if len(raw) >= from_bytes:
+            # Full chunks only, as a band holds for one length; the last one is aligned to the end, so that no byte is left out.
+            chunks, low, high = [raw[i : i + step] for i in range(0, len(raw) - step + 1, step)], low_of, high_of
+            if len(raw) % step:
+                chunks.append(raw[-step:])
+            break
+    rates = [len(c) / len(compressor.compress(c)) if c else 0.0 for c in chunks]
+    bad = sum(not low <= r <= high for r in rates)
     if failed:
         verdict = "base"
     elif ratio > most:
