@@ -1,30 +1,34 @@
 """Line dedup by a log-template tree, in DataFrame operations only.
 
 A line descends a tree of fixed depth: first by its token count, then by its `depth`
-leading tokens. At the leaf its other tokens form four segments, and a template is
-the leaf with all four segments, or with one of them generalised: lines of a leaf that
-agree in three segments are one template, whose fourth is a variable field. Variable
-fields are also generalised lexically beforehand: a token with a digit counts as `<*>`,
-and A-Z as a-z. A template that recurs in two documents or more is dropped wherever it
-occurs but in its first document (the smallest id), which keeps its lines.
+leading tokens (all of them, where it has fewer). At the leaf its other tokens form
+`segments` parts, and a template is the leaf with some parts generalised, whatever stands
+there being a variable field: any two parts in lines of `pairs` tokens or more, any one in
+lines of `singles` or more, none in shorter ones, which must agree entirely. So lines of a
+leaf are one template if the tokens in which they differ lie in two parts of six, a third
+of the line at most. Variable fields are also generalised lexically beforehand: a token
+with a digit counts as `<*>`, and A-Z as a-z. A template that recurs in two documents or
+more is dropped wherever it occurs but in its first document (the smallest id), which
+keeps its lines.
 
 The tree is walked as two aggregations: leaves found in one document only are left
 behind before any template is formed. What is shuffled is a hash of 64 bits for each
 leaf or template with a document id, pre-aggregated by task; texts move once, to meet
-their dropped line numbers. Lines that a third of all documents share are a hot key
-only in sort-merge joins that Spark can split.
-
-Defined results: a null text stays null and an empty one empty. Lines with fewer than
-`depth` tokens have no leaf and always stay; segments are generalised only in lines of
-`min_general` tokens or more, so that short lines must agree entirely. Rows with a null
-id are left alone; rows with one id count as one document, and each loses the lines at
-the numbers dropped for that id. A text whose lines are all dropped becomes empty. An
-empty table gives an empty table. Other columns pass through under their names.
+their dropped line numbers. What is found of leaves and templates is written down before
+the lines meet it, so that a line that a third of all documents share makes a join of two
+plain shuffles, which Spark splits where it is skewed.
+
+Defined results: a null text stays null and an empty one empty. Lines without a token
+always stay. Rows with a null id are left alone; rows with one id count as one document,
+and each loses the lines at the numbers dropped for that id. A text whose lines are all
+dropped becomes empty. An empty table gives an empty table. Other columns pass through
+under their names.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,46 +41,53 @@ SPACES = " \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class Tree:
-    """depth: leading tokens of a leaf; segments: parts of the rest."""
+    """depth: leading tokens of a leaf; segments: parts of the rest; singles, pairs: tokens from which on one, two parts vary."""
 
     depth: int = 3
-    segments: int = 4
-    min_general: int = 12
+    segments: int = 6
+    singles: int = 5
+    pairs: int = 9
+
+    def open_parts(self, vary: int) -> list[tuple[int, ...]]:
+        return list(combinations(range(self.segments), vary))
 
 
 def _lines(docs: DataFrame, tree: Tree) -> DataFrame:
-    """(id, pos, leaf, n, s0..s3): each line with its leaf and the hashes of its segments."""
+    """(id, pos, leaf, n, s0..): each line with its leaf and the hashes of its segments."""
     line = F.translate(F.col("line"), UPPER, LOW)
     # The first test is cheap and spares most lines the replacement; the look-behind tries each token once.
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")).otherwise(line)
     tokens = F.split(F.btrim(masked, F.lit(SPACES)), r"[\x20\x09-\x0D]+")
     rows = docs.where("id is not null and text is not null").select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rows = rows.select("id", "pos", tokens.alias("w")).withColumn("n", F.size("w")).where(f"n >= {tree.depth}")
-    rest = F.col("n") - tree.depth
+    rows = rows.select("id", "pos", tokens.alias("w")).withColumn("n", F.when(F.get("w", F.lit(0)) == "", 0).otherwise(F.size("w"))).where("n > 0")
+    rest = F.greatest(F.col("n") - tree.depth, F.lit(0))
 
     def segment(k: int) -> Column:
         start, end = (F.floor(rest * i / tree.segments).cast("int") for i in (k, k + 1))
         return F.xxhash64(F.slice("w", start + tree.depth + 1, end - start)).alias(f"s{k}")
 
-    return rows.select("id", "pos", F.xxhash64("n", *[F.col("w")[k] for k in range(tree.depth)]).alias("leaf"), "n", *map(segment, range(tree.segments)))
+    return rows.select("id", "pos", F.xxhash64("n", *[F.get("w", F.lit(k)) for k in range(tree.depth)]).alias("leaf"), "n", *map(segment, range(tree.segments)))
 
 
 def _templates(tree: Tree) -> Column:
-    """The templates of a line: whole, and with each segment generalised in turn."""
+    """The templates of a line: those that leave one choice of parts open."""
     parts = [F.col(f"s{k}") for k in range(tree.segments)]
-    whole = F.xxhash64("leaf", F.lit(-1), *parts)
-    general = [F.xxhash64("leaf", F.lit(k), *parts[:k], *parts[k + 1 :]) for k in range(tree.segments)]
-    return F.when(F.col("n") >= tree.min_general, F.array(whole, *general)).otherwise(F.array(whole))
+
+    def template(opened: tuple[int, ...]) -> Column:
+        return F.xxhash64("leaf", F.lit(",".join(map(str, opened))), *[p for k, p in enumerate(parts) if k not in opened])
+
+    by = lambda vary: F.array(*map(template, tree.open_parts(vary)))
+    return F.when(F.col("n") >= tree.pairs, by(2)).when(F.col("n") >= tree.singles, by(1)).otherwise(by(0))
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tree: Tree = Tree()) -> DataFrame:
     """(id, gone): for each document with lines to drop, their 0-based numbers."""
     scratch = Scratch(docs.sparkSession)
     lines = scratch.write(_lines(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), tree), "lines")
-    leaves = lines.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("leaf")
+    leaves = scratch.write(lines.groupBy("leaf").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("leaf"), "leaves")
     met = scratch.write(lines.join(leaves, "leaf").select("id", "pos", _templates(tree).alias("keys")), "met")
     entries = met.select("id", "pos", F.explode("keys").alias("key"))
-    first = entries.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key", "lo")
+    first = scratch.write(entries.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key", "lo"), "first")
     gone = entries.join(first, "key").where("id > lo").select("id", "pos").distinct()
     return gone.groupBy("id").agg(F.collect_list("pos").alias("gone"))
 
@@ -97,6 +108,7 @@ def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 _WORD = r"[^\x20\x09-\x0D]"
+PAIRS, SINGLES = (", ".join(str(list(c)) for c in Tree().open_parts(vary)) for vary in (2, 1))
 #: The same result by DuckDB, on strings instead of hashes.
 SQL = rf"""
 WITH src AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
@@ -106,12 +118,12 @@ words AS (
   FROM each),
 segs AS (
   SELECT doc_id, pos, len(w) AS n, w[1:3] AS lead,
-    [w[4 + (k * (len(w) - 3)) // 4 : 3 + ((k + 1) * (len(w) - 3)) // 4] FOR k IN range(4)] AS s
-  FROM words WHERE len(w) >= 3),
+    [w[4 + (k * greatest(len(w) - 3, 0)) // 6 : 3 + ((k + 1) * greatest(len(w) - 3, 0)) // 6] FOR k IN range(6)] AS s
+  FROM words WHERE len(w) >= 1),
 entries AS (
-  SELECT doc_id, pos, unnest(CASE WHEN n >= 12 THEN range(-1, 4) ELSE [-1] END) AS open, n, lead, s FROM segs),
+  SELECT doc_id, pos, n, lead, s, unnest(CASE WHEN n >= 9 THEN [{PAIRS}] WHEN n >= 5 THEN [{SINGLES}] ELSE [[-1]] END) AS open FROM segs),
 keyed AS (
-  SELECT doc_id, pos, (n, lead, open, [CASE WHEN k = open THEN NULL ELSE s[k + 1] END FOR k IN range(4)])::VARCHAR AS key FROM entries),
+  SELECT doc_id, pos, (n, lead, open, [CASE WHEN list_contains(open, k) THEN NULL ELSE s[k + 1] END FOR k IN range(6)])::VARCHAR AS key FROM entries),
 firsts AS (SELECT key, min(doc_id) AS lo FROM keyed GROUP BY key HAVING min(doc_id) < max(doc_id)),
 gone AS (SELECT DISTINCT doc_id, pos FROM keyed JOIN firsts USING (key) WHERE doc_id > lo),
 gone_of AS (SELECT doc_id, list(pos) AS at FROM gone GROUP BY doc_id)
