@@ -11,25 +11,27 @@
    shares most buckets, so candidate pairs are linear in the bucket entries.
 5. Edges are confirmed on the full sets, never on the sketch, and contracted to
    components.
-6. A bucket whose members are still in different components may hide a link that its
-   hub did not see. Small ones (up to `small` members) are compared in full, which is
-   linear in the entries. Members of larger ones meet in blocks of bounded size as
-   sketches, and only pairs of different components whose sketches agree in nearly the
-   share that the similarity implies (three deviations below it) are looked at, each in
-   the first band that it shares. Sets of up to `whole` shingles come along and decide
-   at once; larger ones are left to the confirmation.
+6. A bucket whose members are still in different components may hide a link that its hub
+   did not see. All its members take part in an exact search: shingles are ordered by the
+   number of these sets that hold them, rarest first, and two sets can only be similar
+   enough if they share one among the first n - ceil(n * percent / 100) + 1 of either
+   (prefix filter) at places that leave room for the overlap wanted (position filter).
+   Both filters are bounds, not estimates, so no link is lost; what passes is confirmed
+   on the full sets. Sets under one shingle meet in blocks of bounded size, and only
+   pairs of different components that pass the bounds leave a block.
 
 Band buckets find a pair of similarity 0.8 with probability 1 - (1 - 0.8^4)^32, over
-0.9999999; step 6 may miss one in a thousand of the very few links (one in two thousand
-on the test tables) that no hub saw. Buckets, hubs and edges are shuffled as numbers;
-texts only of classes that share a bucket. Hot buckets meet their hubs by a sort-merge
-join that Spark can split.
+0.9999999. Buckets, hubs and edges are shuffled as numbers; texts only of classes that
+share a bucket. Whatever is counted of a bucket, class or shingle is written down before
+the rows meet it again, so that a hot key makes a join of two plain shuffles, which Spark
+splits where it is skewed.
 
 Defined results: null and empty texts and texts without words have an empty set, are
 linked with nothing and are kept. A text with fewer words than a shingle is one shingle.
-Rows with a null id take no part: component null, kept. Repeated ids are one vertex, and
-all their rows get its component. An empty table gives an empty table. Only the id and
-the text are read, so other columns cannot clash.
+Rows with a null id take no part: component null, kept. Repeated ids are one vertex: all
+sets of an id are linked, whatever their similarity, and all its rows get one component.
+An empty table gives an empty table. Only the id and the text are read, so other columns
+cannot clash.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, lower_words_of
@@ -59,9 +61,7 @@ class Sketch:
     bands: int = 32
     rows: int = 4
     probes: int = 512
-    small: int = 8
     block: int = 1024
-    whole: int = 512
 
     @property
     def bins(self) -> int:
@@ -135,12 +135,12 @@ def one_permutation(shingles: np.ndarray, bins: int, probes: np.ndarray) -> np.n
 
 
 def sketch_udf(s: Sketch):
-    """Text -> struct(n, hi, lo, bands, mins): set size, 128-bit id of the set, band keys (the band in the last bits), 16 bits of each bin."""
+    """Text -> struct(n, hi, lo, bands): set size, 128-bit id of the set, band keys (the band in the last bits)."""
 
-    @F.pandas_udf("n long, hi long, lo long, bands array<long>, mins binary")
+    @F.pandas_udf("n long, hi long, lo long, bands array<long>")
     def sketch(texts: pd.Series) -> pd.DataFrame:
         hashes, probes = WordHashes(), probe_table(s.bins, s.probes)
-        n, hi, lo, bands, mins = [], [], [], [], []
+        n, hi, lo, bands = [], [], [], []
         number = np.arange(s.bands, dtype=U64)
         salt = np.arange(s.bands, dtype=U64) * U64(0xD6E8FEB86659FD93)
         for text in texts:
@@ -151,17 +151,14 @@ def sketch_udf(s: Sketch):
             lo.append(int.from_bytes(digest[8:], "big", signed=True))
             if not len(have):
                 bands.append(np.zeros(0, np.int64))
-                mins.append(b"")
                 continue
-            values = one_permutation(have, s.bins, probes)
-            mins.append(values.astype(np.uint16).tobytes())
-            values = values.reshape(s.bands, s.rows)
+            values = one_permutation(have, s.bins, probes).reshape(s.bands, s.rows)
             key = salt.copy()
             for k in range(s.rows):
                 key = mix(key * U64(0x9E3779B97F4A7C15) + values[:, k])
             key = key - key % U64(s.bands) + number
             bands.append(key.view(np.int64))
-        return pd.DataFrame({"n": n, "hi": hi, "lo": lo, "bands": pd.Series(bands, dtype=object), "mins": pd.Series(mins, dtype=object)})
+        return pd.DataFrame({"n": n, "hi": hi, "lo": lo, "bands": pd.Series(bands, dtype=object)})
 
     return sketch
 
@@ -190,62 +187,44 @@ def _confirm(s: Sketch):
     return confirm
 
 
-def _halves(s: Sketch):
-    """Text -> the shingle set as 32-bit halves of its hashes; null for sets over `whole`."""
+def _shingles(s: Sketch):
+    """Text -> its shingle set."""
 
-    @F.pandas_udf("binary")
-    def halves(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<long>")
+    def shingles(texts: pd.Series) -> pd.Series:
         hashes = WordHashes()
-        sets = (shingle_set(t, s.width, hashes) for t in texts)
-        return pd.Series([x.astype(np.uint32).tobytes() if len(x) <= s.whole else None for x in sets], dtype=object)
-
-    return halves
-
-
-def _alike(s: Sketch):
-    """applyInPandas over blocks (k, i, j): pairs of different components whose sketches nearly agree."""
-
-    def alike(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        k, i, j = (int(x) for x in key)
-        band = k % s.bands
-        block, rep, label, n = (rows[c].to_numpy() for c in ("own", "rep", "label", "n"))
-        mins = np.frombuffer(b"".join(rows["mins"]), np.uint16).reshape(len(rows), s.bins)
-        sets = [None if h is None else np.frombuffer(h, np.uint32) for h in rows["halves"]]
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block == j)
-        out_a, out_b = [], []
-        for x in left:
-            other = right[(label[right] != label[x]) & (100 * np.minimum(n[right], n[x]) >= s.percent * np.maximum(n[right], n[x]))]
-            if i == j:
-                other = other[other > x]
-            if not len(other):
-                continue
-            same = mins[other] == mins[x]
-            # Bins that hold a shingle of their own vote alone; a share of them has this deviation.
-            least = s.percent / 100
-            own = s.bins * -np.expm1(-np.minimum(n[other], n[x]) / s.bins)
-            fit = same.mean(axis=1) >= least - 3 * np.sqrt(least * (1 - least) / own)
-            other, same = other[fit], same[fit]
-            other = other[same.reshape(len(other), s.bands, s.rows).all(axis=2).argmax(axis=1) == band]
-            # Where both sets came along, they decide; a rare equal half of a hash only adds a pair to be confirmed.
-            known = other[[sets[y] is not None for y in other]] if sets[x] is not None else other[:0]
-            if len(known):
-                sizes = np.fromiter((len(sets[y]) for y in known), np.int64, len(known))
-                both = np.add.reduceat(np.isin(np.concatenate([sets[y] for y in known]), sets[x]).astype(np.int64), np.cumsum(sizes) - sizes)
-                apart = known[100 * both < s.percent * (sizes + len(sets[x]) - both)]
-                other = np.setdiff1d(other, apart, assume_unique=True)
-            out_a.append(np.full(len(other), rep[x]))
-            out_b.append(rep[other])
-        a, b = np.concatenate([np.zeros(0, np.int64), *out_a]), np.concatenate([np.zeros(0, np.int64), *out_b])
-        return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
-
-    return alike
-
-
-def _current(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members with the label that each class has by now."""
-    known = labels.select(F.col("v").alias("rep"), "label")
-    return members.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        return pd.Series([shingle_set(t, s.width, hashes).view(np.int64) for t in texts], dtype=object)
+
+    return shingles
+
+
+def hidden_pairs(members: DataFrame, s: Sketch, scratch: Scratch) -> DataFrame:
+    """(a, b): all pairs of different labels among members (v, n, label, text) that the bounds admit."""
+    held = scratch.write(members.select("v", "n", "label", F.explode(_shingles(s)("text")).alias("g")), "held")
+    counts = held.groupBy("g").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    counts = scratch.write(counts.where("df > 1").select("g", "df", (F.col("lo") < F.col("hi")).alias("mixed")), "shared-shingles")
+    # Shingles of one set alone come first in every order; only their number matters.
+    shared = scratch.write(held.join(counts, "g"), "shared")
+    scratch.drop("held")
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("v"))
+    at = alone + F.row_number().over(Window.partitionBy("v").orderBy("df", "g")) - 1
+    prefix = F.col("n") - F.expr(f"(n * {s.percent}L + 99) div 100") + 1
+    ranked = shared.withColumn("at", at).where(F.col("at") < prefix).where("mixed").select("g", "v", "n", "label", "at")
+    ranked = scratch.write(ranked, "prefixes")
+    scratch.drop("shared")
+    sizes = ranked.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("g", "size")
+    sizes = scratch.write(sizes, "prefix-sizes")
+    # Sets under one shingle meet in blocks, each a join key of its own with a bounded number of rows on both sides.
+    blocks = F.ceil(F.col("size") / s.block).cast("int")
+    met = ranked.join(sizes, "g").withColumn("own", F.pmod(F.xxhash64("v"), blocks).cast("int"))
+    met = met.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    met = scratch.write(met.select("g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "v", "label", "n", "at"), "blocks")
+    left = met.where("own = i")
+    right = met.where("own = j").select("g", "i", "j", *[F.col(c).alias(f"{c}2") for c in ("v", "label", "n", "at")])
+    # No more can be shared than this shingle and what either set has behind it.
+    most = 1 + F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) - 1
+    pairs = left.join(right, ["g", "i", "j"]).where("label <> label2 and (i < j or v < v2)").where(_close("n", "n2", s))
+    return pairs.where(100 * most >= s.percent * (F.col("n") + F.col("n2") - most)).select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch: Sketch = Sketch()) -> DataFrame:
@@ -253,56 +232,57 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     s = sketch
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sig = scratch.write(docs.select("id", sketch_udf(s)("text").alias("s")).select("id", "s.*"), "sketches")
-
-    sets = scratch.write(sig.where("n > 0 and id is not null").groupBy("hi", "lo").agg(F.min("id").alias("rep"), F.first("n").alias("n")), "sets")
-    entries = sets.join(sig.select(F.col("id").alias("rep"), "hi", "lo", "bands"), ["rep", "hi", "lo"]).select("rep", "n", F.explode("bands").alias("k"))
-    shared = entries.groupBy("k").agg(F.count("*").alias("size")).where("size > 1")
+    docs = docs.withColumn("th", F.xxhash64("text"))
+    sig = scratch.write(docs.select("id", "th", sketch_udf(s)("text").alias("s")).select("id", "th", "s.*"), "sketches")
+
+    # A vertex v is a set; its text is that of its first row (id, th). Written at once, so that v is fixed.
+    sets = sig.where("n > 0 and id is not null").groupBy("hi", "lo").agg(F.min(F.struct("id", "th")).alias("of"), F.first("n").alias("n"))
+    sets = scratch.write(sets.select(F.monotonically_increasing_id().alias("v"), "hi", "lo", "of.id", "of.th", "n"), "sets")
+    bands = sig.where("n > 0 and id is not null").select("id", "th", "hi", "lo", "bands")
+    entries = sets.join(bands, ["id", "th", "hi", "lo"]).dropDuplicates(["v"]).select("v", "n", F.explode("bands").alias("k"))
+    entries = scratch.write(entries, "entries")
+    shared = scratch.write(entries.groupBy("k").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     met = scratch.write(entries.join(shared, "k"), "met")
-    degree = met.groupBy("rep").agg(F.sum("size").alias("degree"))
+    scratch.drop("entries")
+    degree = scratch.write(met.groupBy("v").agg(F.sum("size").alias("degree")), "degrees")
     # Most shared entries first, equals parted by a hash; one number, so that hubs are found by hash aggregation.
-    priority = F.shiftleft(F.least("degree", F.lit((1 << 22) - 1)), 40) + F.xxhash64("rep").bitwiseAND((1 << 40) - 1)
-    live = scratch.write(met.join(degree, "rep").select("k", "rep", "n", priority.alias("prio")), "live")
+    priority = F.shiftleft(F.least("degree", F.lit((1 << 22) - 1)), 40) + F.xxhash64("v").bitwiseAND((1 << 40) - 1)
+    live = scratch.write(met.join(degree, "v").select("k", "v", "n", priority.alias("prio")), "live")
     scratch.drop("met")
-    texts = scratch.write(docs.join(live.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), "texts")
+    seen = sets.join(degree.select("v"), "v", "left_semi").select("v", "id", "th")
+    texts = scratch.write(docs.join(seen, ["id", "th"]).select("v", "text").dropDuplicates(["v"]), "texts")
 
     def confirmed(edges: DataFrame, name: str) -> DataFrame:
-        left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-        right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-        rows = edges.select("a", "b").distinct().join(right, "b").join(left, "a")
+        left = texts.select(F.col("v").alias("a"), F.col("text").alias("ta"))
+        right = texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
+        rows = scratch.write(edges.select("a", "b").distinct(), f"{name}-candidates").join(right, "b").join(left, "a")
         return scratch.write(rows.mapInPandas(_confirm(s), "a long, b long"), name)
 
-    hubs = live.groupBy("k").agg(F.max_by("rep", "prio").alias("a"), F.max_by("n", "prio").alias("na"))
-    star = live.join(hubs, "k").where("rep <> a").where(_close("n", "na", s)).select("a", F.col("rep").alias("b"))
-    links = confirmed(star, "links")
+    hubs = scratch.write(live.groupBy("k").agg(F.max_by("v", "prio").alias("a"), F.max_by("n", "prio").alias("na")), "hubs")
+    star = live.join(hubs, "k").where("v <> a").where(_close("n", "na", s)).select("a", F.col("v").alias("b"))
+    # Sets of one id belong together.
+    ids = sig.where("n > 0 and id is not null").join(sets.select("v", "hi", "lo"), ["hi", "lo"]).groupBy("id").agg(F.min("v").alias("b"), F.max("v").alias("top"))
+    several = scratch.write(ids.where("b < top").select("id", "b"), "several")
+    same = sig.join(several, "id").join(sets.select(F.col("v").alias("a"), "hi", "lo"), ["hi", "lo"]).where("a <> b").select("a", "b").distinct()
+    links = scratch.write(confirmed(star, "star").unionByName(same), "links")
     labels = components(links, scratch, "round0")
 
     # What is left: buckets over several components.
-    known = _current(live, labels).drop("prio")
-    groups = known.groupBy("k", "label").agg(F.count("*").alias("m"))
-    mixed = groups.groupBy("k").agg(F.count("*").alias("parts"), F.sum("m").alias("size")).where("parts > 1").select("k", "size")
-    mixed = scratch.write(known.join(mixed, "k"), "mixed")
-    small = mixed.where(F.col("size") <= s.small).select("k", "rep", "n", "label")
-    other = small.select("k", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "label")])
-    pairs = small.join(other, "k").where("label <> label2 and rep > rep2").where(_close("n", "n2", s)).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
-    large = mixed.where(F.col("size") > s.small)
-    seen = large.select(F.col("rep").alias("id")).distinct()
-    halves = scratch.write(texts.join(seen, "id", "left_semi").select(F.col("id").alias("rep"), _halves(s)("text").alias("halves")), "halves")
-    large = large.join(sig.select(F.col("id").alias("rep"), "mins"), "rep").join(halves, "rep")
-    blocks = F.ceil(F.col("size") / s.block).cast("int")
-    large = large.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    large = large.withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
-    met = large.groupBy("k", "i", "j").applyInPandas(_alike(s), "a long, b long")
-    found = confirmed(pairs.union(met), "late-links")
+    known = live.join(labels, "v", "left").select("k", "v", "n", F.coalesce("label", "v").alias("label"))
+    mixed = scratch.write(known.groupBy("k").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("k"), "mixed")
+    members = known.join(mixed, "k").select("v", "n", "label").distinct()
+    found = confirmed(hidden_pairs(scratch.write(members, "members").join(texts, "v"), s, scratch), "late-links")
     if not found.isEmpty():
         labels = components(links.union(found), scratch, "round1")
-    for name in ("live", "texts", "mixed", "halves"):
+    for name in ("live", "texts", "prefixes", "members"):
         scratch.drop(name)
 
-    label = sets.join(labels.withColumnRenamed("v", "rep"), "rep", "left").select("hi", "lo", F.coalesce("label", "rep").alias("component_id"))
+    reach = scratch.write(sets.join(labels, "v", "left").select("hi", "lo", "id", F.coalesce("label", "v").alias("label")), "reach")
+    least = scratch.write(reach.groupBy("label").agg(F.min("id").alias("component_id")), "least")
+    label = reach.join(least, "label").select("hi", "lo", "component_id")
     own = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
     return (
-        sig.drop("bands", "mins")
+        sig.drop("bands", "th")
         .join(label, ["hi", "lo"], "left")
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col(id_col), F.lit(True)))
