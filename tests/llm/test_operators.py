@@ -52,12 +52,18 @@ def test_line_dedup(spark):
     a = "alpha beta gamma delta"
     long = "one two three " + " ".join(f"w{chr(97 + i)}" for i in range(12))
     other = long.replace("wc", "CHANGED")  # one segment of four differs
-    docs = [(1, f"{a}\nonly here at all"), (2, f"{a}\nsomething else entirely here"), (3, long), (4, other), (5, long.replace("wa", "p").replace("wl", "q")), (6, "at 10:30 on 2024-01-01 ok"), (7, "at 11:45 on 2025-02-03 ok"), (8, "hi you"), (9, "hi you"), (None, a)]
+    far = "one two three " + " ".join(f"z{chr(97 + i)}" if i % 3 else f"w{chr(97 + i)}" for i in range(12))
+    docs = [(1, f"{a}\nonly here at all"), (2, f"{a}\nsomething else entirely here"), (3, long), (4, other), (5, long.replace("wa", "p").replace("wl", "q")), (10, far), (6, "at 10:30 on 2024-01-01 ok"), (7, "at 11:45 on 2025-02-03 ok"), (8, "hi you"), (9, "hi you"), (None, a)]
+    # A field in a line of nine tokens; one of five tokens may differ, of four none.
+    fault = "error while opening connection to host {} port closed"
+    docs += [(20, fault.format("alpha")), (21, fault.format("bravo")), (22, "red green blue cyan pink"), (23, "red green blue cyan grey"), (24, "red green blue lime"), (25, "red green blue teal"), (26, " \n\n"), (27, " \n\n")]
     got = {r["doc_id"]: (r["text"], r["a"], r["b"]) for r in line_dedup.drop_recurring_lines(spark.createDataFrame(docs, "doc_id long, text string"), counts=("a", "b")).collect()}
     assert got[1][0] == docs[0][1] and got[2] == ("something else entirely here", 2, 1)
-    assert got[4][0] == "" and got[5][0] == docs[4][1]  # two segments differ: another template
-    assert got[6][0] == docs[5][1] and got[7][0] == ""  # digits are variable fields
-    assert got[8][0] == got[9][0] == "hi you"  # too short for a leaf
+    assert got[4][0] == "" and got[5][0] == ""  # one part differs, then two
+    assert got[10][0] == far  # more than two parts differ: another template
+    assert got[21][0] == "" and got[23][0] == "" and got[25][0] == docs[-3][1] and got[27][0] == " \n\n"
+    assert got[6][0] == docs[6][1] and got[7][0] == ""  # digits are variable fields
+    assert got[8][0] == "hi you" and got[9][0] == ""  # short lines agree entirely
     assert got[None][0] == a
 
 
@@ -110,8 +116,35 @@ def test_minhash_equals_brute_force(spark):
     assert got == {d: (n, c, c == d) for d, (n, c) in components(texts).items()}
 
 
+def test_minhash_sets_of_one_id_are_one_vertex(spark):
+    rng = random.Random(2)
+    a, b = (" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(40)) for c in "ab")
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (9, b), (9, b), (11, "else")], "doc_id long, text string")
+    got = minhash.near_duplicates(docs).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(3, 3), (5, 3), (9, 3), (11, 11)} and len(got) == 6
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_hidden_pairs_miss_nothing(spark, block):
+    """Every pair of 80 percent or more is among the candidates of the prefix search, in one block or in many."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = {}
+    for d in range(90):
+        text = list(base)
+        for _ in range(rng.randrange(0, 12)):
+            text[rng.randrange(120)] = f"x{rng.randrange(10_000)}"
+        texts[d] = " ".join(text)
+    sets = {d: {tuple(low(t)[i : i + 4]) for i in range(len(low(t)) - 3)} for d, t in texts.items()}
+    rows = [(d, len(sets[d]), d, t) for d, t in texts.items()]
+    members = spark.createDataFrame(rows, "v long, n long, label long, text string")
+    got = {(r["a"], r["b"]) for r in minhash.hidden_pairs(members, minhash.Sketch(width=4, block=block), Scratch(spark)).collect()}
+    want = {(x, y) for x in sets for y in sets if y < x and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y])}
+    assert want and want <= got
+
+
 def test_minhash_large_mixed_buckets(spark):
-    """A cluster wide enough for the block comparison: heavy mutations of one text."""
+    """Heavy mutations of one text: many near misses in every bucket."""
     rng = random.Random(9)
     base = [f"w{i}" for i in range(120)]
     texts = {}
@@ -358,6 +391,44 @@ def test_packing(spark, edge, empty):
     assert packing.best_fit(empty).count() == 0
 
 
+def test_packing_against_brute_force():
+    """Small sets: never above best fit with any one length, and close to the cheapest of all partitions."""
+    rng, lengths = random.Random(5), packing.Lengths(permitted=(8, 16, 32), fixed=2.0)
+
+    def cheapest(sizes):
+        best = math.inf
+
+        def place(k, bins):
+            nonlocal best
+            if k == len(sizes):
+                best = min(best, sum(lengths.cost(lengths.holding(b)) for b in bins))
+                return
+            for i in range(len(bins)):
+                if bins[i] + sizes[k] <= 32:
+                    place(k + 1, [*bins[:i], bins[i] + sizes[k], *bins[i + 1 :]])
+            place(k + 1, [*bins, sizes[k]])
+
+        place(0, [])
+        return best
+
+    lost = []
+    for _ in range(60):
+        sizes = sorted((rng.randrange(1, 33) for _ in range(7)), reverse=True)
+        cost = sum(lengths.cost(c) for c, _ in packing.pack(sizes, lengths))
+        for c in lengths.permitted:
+            assert cost <= sum(lengths.cost(lengths.holding(sum(sizes[i] for i in b))) for b in packing.fill(sizes, lengths, (c,))) + 1e-9
+        lost.append(cost / cheapest(sizes))
+    assert min(lost) >= 1 - 1e-9 and np.mean(lost) < 1.02
+
+
+def test_packing_opens_several_lengths():
+    sizes = np.sort(np.clip((np.random.default_rng(1).pareto(1.1, 2500) * 150 + 20).astype(int), 1, 8192))[::-1]
+    lengths = packing.Lengths()
+    cost = lambda opening: sum(lengths.cost(lengths.holding(int(sizes[b].sum()))) for b in packing.fill(sizes, lengths, opening))
+    assert cost(None) < min(cost((c,)) for c in lengths.permitted)
+    assert len({c for c, _ in packing.pack(sizes, lengths)}) >= 3
+
+
 def test_packing_is_near_the_bound():
     rng = random.Random(4)
     sizes = sorted((rng.randint(1, 700) for _ in range(2000)), reverse=True)
