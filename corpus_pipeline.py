@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm.common import Scratch
+from veilframe.llm.common import Scratch, scope
 from veilframe.llm.langid import keep_known
 from veilframe.llm.line_dedup import drop_recurring_lines
 from veilframe.llm.minhash import keep_one
@@ -56,11 +56,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet in the shared folder and read again."""
+    """All stages over documents, each written as Parquet in the shared folder and read again.
+
+    What a stage keeps for itself is dropped once its result is written.
+    """
     scratch = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with scope():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
