@@ -175,8 +175,9 @@ def test_components_of_long_chains(spark):
     mixed = rng.sample(range(1000, 1200), 150)
     links = [*zip(range(150), range(1, 151)), *zip(mixed, mixed[1:]), *((2000 + i, 2000 + (i + 1) % 30) for i in range(30)), (2007, 1999), (5, 5)]
     df = spark.createDataFrame(links, "a long, b long").coalesce(2)
-    got = {r["v"]: r["label"] for r in linked.components(df, Scratch(spark), "chains").collect()}
-    assert got == dict.fromkeys(range(151), 0) | dict.fromkeys(mixed, min(mixed)) | dict.fromkeys([1999, *range(2000, 2030)], 1999)
+    for at_once in (0, 20, 1 << 20):
+        got = {r["v"]: r["label"] for r in linked.components(df, Scratch(spark), "chains", at_once).collect()}
+        assert got == dict.fromkeys(range(151), 0) | dict.fromkeys(mixed, min(mixed)) | dict.fromkeys([1999, *range(2000, 2030)], 1999)
 
 
 def test_densified_sketch_estimates_similarity():

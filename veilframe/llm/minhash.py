@@ -17,8 +17,8 @@
    enough if they share one among the first n - ceil(n * percent / 100) + 1 of either
    (prefix filter) at places that leave room for the overlap wanted (position filter).
    Both filters are bounds, not estimates, so no link is lost; what passes is confirmed
-   on the full sets. Sets under one shingle meet in blocks of bounded size, and only
-   pairs of different components that pass the bounds leave a block.
+   on the full sets. Under one shingle the sets outside its largest component meet all
+   others in blocks of bounded size; pairs of one component are never looked at.
 
 Band buckets find a pair of similarity 0.8 with probability 1 - (1 - 0.8^4)^32, over
 0.9999999. Buckets, hubs and edges are shuffled as numbers; texts only of classes that
@@ -212,18 +212,20 @@ def hidden_pairs(members: DataFrame, s: Sketch, scratch: Scratch) -> DataFrame:
     ranked = shared.withColumn("at", at).where(F.col("at") < prefix).where("mixed").select("g", "v", "n", "label", "at")
     ranked = scratch.write(ranked, "prefixes")
     scratch.drop("shared")
-    sizes = ranked.groupBy("g").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("g", "size")
+    # Only pairs of different components matter: the sets outside a shingle's largest component meet all sets under it,
+    # in blocks, each a join key of its own with a bounded number of rows on both sides.
+    parts = ranked.groupBy("g", "label").agg(F.count("*").alias("m"))
+    sizes = parts.groupBy("g").agg(F.sum("m").alias("size"), F.max("m").alias("most"), F.max_by("label", "m").alias("major"), F.count("*").alias("labels"))
+    sizes = sizes.where("labels > 1").select("g", "major", F.ceil((F.col("size") - F.col("most")) / s.block).cast("int").alias("few"), F.ceil(F.col("size") / s.block).cast("int").alias("all"))
     sizes = scratch.write(sizes, "prefix-sizes")
-    # Sets under one shingle meet in blocks, each a join key of its own with a bounded number of rows on both sides.
-    blocks = F.ceil(F.col("size") / s.block).cast("int")
-    met = ranked.join(sizes, "g").withColumn("own", F.pmod(F.xxhash64("v"), blocks).cast("int"))
-    met = met.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    met = scratch.write(met.select("g", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "v", "label", "n", "at"), "blocks")
-    left = met.where("own = i")
-    right = met.where("own = j").select("g", "i", "j", *[F.col(c).alias(f"{c}2") for c in ("v", "label", "n", "at")])
+    met = scratch.write(ranked.join(sizes, "g"), "prefix-groups")
+    part = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    left = met.where("label <> major").select("g", "v", "label", "n", "at", "major", part("few").alias("i"), every("all").alias("j"))
+    right = met.select("g", *[F.col(c).alias(f"{c}2") for c in ("v", "label", "n", "at")], every("few").alias("i"), part("all").alias("j"))
     # No more can be shared than this shingle and what either set has behind it.
     most = 1 + F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2")) - 1
-    pairs = left.join(right, ["g", "i", "j"]).where("label <> label2 and (i < j or v < v2)").where(_close("n", "n2", s))
+    pairs = left.join(right, ["g", "i", "j"]).where("label <> label2 and (label2 = major or v < v2)").where(_close("n", "n2", s))
     return pairs.where(100 * most >= s.percent * (F.col("n") + F.col("n2") - most)).select(F.greatest("v", "v2").alias("a"), F.least("v", "v2").alias("b"))
 
 
