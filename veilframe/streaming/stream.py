@@ -34,23 +34,34 @@ def audit_counts(stream: DataFrame, at: str = "ts", by: str = "event_type", wind
     return stream.withWatermark(at, late).groupBy(F.window(at, window), by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), by, "n")
 
 
+def first_only(stream: DataFrame, key: str = "src_path") -> DataFrame:
+    """Rows whose key no earlier row of the stream had: the keys seen are state, so no batch reads the log again."""
+    return stream.dropDuplicates([key])
+
+
 def append_first(path: str, key: str = "src_path") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink: appends rows whose key the log does not hold yet, so a replayed batch changes nothing."""
+    """A foreachBatch sink: each batch has a folder of its own, so that one replayed after a crash replaces itself."""
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        new = batch.dropDuplicates([key])
-        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-            new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-        new.write.mode("append").parquet(path)
+        batch.dropDuplicates([key]).write.mode("overwrite").parquet(f"{path}/batch={epoch}")
 
     return sink
 
 
-def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def latest(path: str) -> Callable[[DataFrame, int], None]:
+    """A sink for update mode: the changed rows of each batch; `read_latest` takes the last of each key."""
+    return lambda batch, epoch: batch.write.mode("overwrite").parquet(f"{path}/batch={epoch}")
+
+
+def read_latest(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """The last state of each key, so windows that are still open when the stream ends are there too."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    values = [c for c in rows.columns if c not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("__last")).select(*keys, "__last.*")
+
+
+def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Everything that is there by now, then stop; a later run goes on from the checkpoint."""
-    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
