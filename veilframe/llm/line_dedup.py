@@ -59,7 +59,8 @@ def _lines(docs: DataFrame, tree: Tree) -> DataFrame:
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+", "<*>")).otherwise(line)
     tokens = F.split(F.btrim(masked, F.lit(SPACES)), r"[\x20\x09-\x0D]+")
     rows = docs.where("id is not null and text is not null").select("id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    rows = rows.select("id", "pos", tokens.alias("w")).withColumn("n", F.when(F.get("w", F.lit(0)) == "", 0).otherwise(F.size("w"))).where("n > 0")
+    # Lines without a token are told by their text: a filter on the tokens would be pushed down and split every line twice.
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("id", "pos", tokens.alias("w")).withColumn("n", F.size("w"))
     rest = F.greatest(F.col("n") - tree.depth, F.lit(0))
 
     def segment(k: int) -> Column:
