@@ -47,7 +47,13 @@ class Settings:
     seed: int = 3
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by a power of two near their largest component: exact, and no square over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -178,6 +184,7 @@ def fit_router(x: np.ndarray, settings: Settings) -> tuple[Router, int]:
 def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best k of a block for each query: distinct ids and exact cosines, ties to the smaller id."""
     most = 1
+    q, v = scaled(q), scaled(v)
     if len(np.unique(ids)) < len(ids):
         raw = np.hstack([np.ascontiguousarray(x).view(np.uint8).reshape(len(ids), -1) for x in (ids, v)])
         kept = np.sort(np.unique(raw.view(f"V{raw.shape[1]}").ravel(), return_index=True)[1])
