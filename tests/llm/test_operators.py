@@ -282,6 +282,14 @@ def test_ann_recall_and_exact_scores(spark):
     assert [got[100][k][0] for k in range(1, 6)] == [101, 102, 103, 104, 105]  # ties by id
 
 
+def test_ann_extreme_lengths():
+    """Squares of these components over- or underflow; the cosines do not."""
+    q = np.array([[1.0, 0.0]])
+    v = np.array([[1e200, 0.0], [1e-200, 0.0], [3e-310, 4e-310], [-1e300, 1e300]])
+    _, ids, scores = ann.search_block(np.array([0]), q, np.arange(1, 5), v, 4)
+    assert ids.tolist() == [1, 2, 3, 4] and np.allclose(scores, [1, 1, 0.6, -math.sqrt(0.5)], atol=1e-12)
+
+
 def test_ann_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0]), (None, [1.0, 2.0]), (50, [1.0, 1.0]), (8, [0.0, 1.0])]
