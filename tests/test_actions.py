@@ -106,3 +106,49 @@ def test_day_offset(spark, patient):
 )
 def test_functions(spark, column, want):
     assert spark.range(1).select(column()).first()[0] == want
+
+
+def test_functions_get_the_element(record):
+    """Predicates, functions and literals see the field's own metadata in both forms."""
+    functions = {"is_name": lambda v, f, get, x: F.lit(f.vr == "PN") & v.isNotNull(), "shout": lambda v, f, get, x: F.concat(F.upper(v), F.lit("/"), get("PatientID"))}
+
+    def run(header):
+        engine = Engine(Recipe.parse(f"FORMAT dicom\n%header\n{header}"), salt=SALT, functions=functions)
+        names = ["PatientName", "OperatorsName", "Manufacturer", "PatientID"]
+        return tuple(engine.wide(record, META).select(*names).first()), tuple(as_wide(engine.tall(elements(record)), names).select(*names).first())
+
+    wide, tall = run("REMOVE all func:is_name\n")
+    assert wide == tall == (None, None, "foo", "42")
+    wide, tall = run("REPLACE PatientID 43\nREPLACE Manufacturer func:shout\n")
+    assert wide == tall == ("A^B", "A^B", "FOO/43", "43")
+    wide, tall = run("REPLACE endswith:Name deid_func:suffix_uuid\n")
+    assert all(v[:-36] == f"{n}-" for row in (wide, tall) for v, n in zip(row, ("patientname", "operatorsname"), strict=False))
+    wide, tall = run("REPLACE PatientName deid_func:pydicom_uuid stable_remapping=false\n")
+    assert wide[0] != tall[0] and wide[0].startswith("2.25.") and tall[0].startswith("2.25.")
+
+
+def test_wide_private_and_sequences(spark):
+    df = spark.createDataFrame([("p", "secret", "s")], "src_path string, Own string, Seq string")
+    engine = Engine(Recipe.parse("FORMAT dicom\n%header\nKEEP Own\n"), remove_private=True, strip_sequences=True)
+    got = engine.wide(df, [Field("Own", "00331010", "LO"), Field("Seq", "00081115", "SQ")]).first()
+    assert got["Own"] is None and got["Seq"] is None
+
+
+def test_tags():
+    from veilframe.functions import tags
+
+    assert tags.by_keyword("PatientIdentityRemoved").tag == "00120062" and tags.by_any("(0010,0020)").keyword == "PatientID"
+    assert [t.keyword for t in tags.find("Patient", vr="DA")] == ["PatientBirthDate"] and tags.find("nothing like it") == []
+    assert tags.define("00331010", "LO").is_private and tags.by_any("Patient's Name").keyword == "PatientName"
+    with pytest.raises(ValueError):
+        tags.define("x")
+
+
+def test_update_and_private(spark):
+    from veilframe.operators.actions import has_private, private_elements, update_field
+
+    rows = [element("(0010,0010)", "PatientName", "PN", value="A", grp=0x10, elem=0x10), element("(0033,1010)", "", value="p", private="X", grp=0x33, elem=0x1010)]
+    df = spark.createDataFrame([(rows,), (rows[:1],)], f"elements array<{ELEMENT}>")
+    e = F.col("elements")
+    got = df.select(has_private(e), F.size(private_elements(e)), update_field(e, "PatientName", F.lit("B"))[0]["value"], F.size(update_field(e, "PatientID", F.lit("B")))).collect()
+    assert [tuple(r) for r in got] == [(True, 1, "B", 2), (False, 0, "B", 1)]

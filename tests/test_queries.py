@@ -106,3 +106,12 @@ def test_cli(spark, tmp_path):
     assert cli.main(["inspect", *args, "--output", str(tmp_path / "report")]) == 0
     assert cli.main(["identifiers", *args, "--output", str(tmp_path / "out")]) == 0
     assert {r[0] for r in spark.read.parquet(str(tmp_path / "out")).select("PatientName").collect()} == {""}
+
+
+def test_no_precedence_matters(duck):
+    """The fold's query would give other rows if `and` bound tighter."""
+    from veilframe.sources.views import INST_SQL
+
+    tests = ("coalesce(regexp_matches(Manufacturer, '(?i)vingmed'), false)", "lower(Modality) = 'us'", "regexp_matches(StudyDescription, '(?i)PROMO')")
+    n = duck.sql("WITH {} SELECT count(*) FROM inst WHERE (({} OR {}) AND {}) <> ({} OR ({} AND {}))".format(INST_SQL, *tests, *tests)).fetchall()[0][0]
+    assert n > 100
