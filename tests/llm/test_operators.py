@@ -462,12 +462,11 @@ def reference_scores(texts: dict, s: pitman_yor.Settings):
     for d in learn:
         for u, w in zip(["START", *tokens[d]], tokens[d]):
             pairs[u, w] += 1
-    number = {w: i for i, w in enumerate(sorted(count, key=lambda w: hashes[w]))}
-    ctx = lambda u: len(number) + 1 if u == "START" else number.get(u, len(number))
+    code = lambda w: np.array([hashes[pitman_yor.START_WORD if w == "START" else w]], np.uint64)
     estimate = lambda values: float(np.clip(sum(v == 1 for v in values) / max(sum(v == 1 for v in values) + 2 * sum(v == 2 for v in values), 1), 0.3, 0.95))
     d1, d2 = estimate(count.values()), estimate(pairs.values())
     floor = 1 / (types + 1)
-    key = {p: np.array([(ctx(p[0]) << 32) | number[p[1]]], np.uint64) for p in pairs}
+    key = {p: pitman_yor.pair_key(code(p[0]), code(p[1])) for p in pairs}
     t = dict.fromkeys(pairs, 1)
     cw = Counter(w for _, w in pairs)
     tw = {w: 1 for w in cw}
@@ -478,7 +477,7 @@ def reference_scores(texts: dict, s: pitman_yor.Settings):
         tu[u] += n
     parent = lambda w: (cw.get(w, 0) - d1 * tw.get(w, 0) + (s.base_strength + d1 * sum(tw.values())) * floor) / (s.base_strength + sum(cw.values()))
     for sweep in range(1, s.sweeps + 1):
-        new = {p: int(pitman_yor.seat(np.array([n]), np.array([(s.strength + d2 * tu[p[0]]) * parent(p[1])]), d2, mix(key[p]), sweep)[0]) for p, n in pairs.items()}
+        new = {p: int(pitman_yor.seat(np.array([n]), np.array([(s.strength + d2 * tu[p[0]]) * parent(p[1])]), d2, key[p], sweep)[0]) for p, n in pairs.items()}
         weight = (s.base_strength + d1 * sum(tw.values())) * floor
         cw, tu = Counter(), tables()
         for (u, w), n in new.items():
@@ -510,7 +509,8 @@ def test_pitman_yor_equals_the_plain_model(spark):
     s = pitman_yor.Settings()
     count, total, types, score, probability = reference_scores(texts, s)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
-    for settings in (s, pitman_yor.Settings(hot=40, flush_tokens=300)):  # also with frequent pairs scored at once
+    # Also with frequent pairs scored at once, and with most or nearly all words owned by the part of their hash.
+    for settings in (s, pitman_yor.Settings(hot=40, flush_tokens=300), pitman_yor.Settings(resident=20, flush_tokens=300), pitman_yor.Settings(resident=1)):
         got = {r["doc_id"]: r for r in pitman_yor.language_model_scores(docs, settings=settings).collect()}
         assert len(got) == len(texts)
         for d, text in texts.items():
@@ -524,15 +524,19 @@ def test_pitman_yor_equals_the_plain_model(spark):
 
 
 def test_pitman_yor_rare_words(spark):
-    """With few resident words most live in the parts of their hash; totals stay exact and scores close."""
-    texts = {d: " ".join(f"w{(d * 7 + i * i) % (30 + d)}" for i in range(40)) for d in range(80)}
-    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    few = {r["doc_id"]: r for r in pitman_yor.language_model_scores(docs, settings=pitman_yor.Settings(resident=10)).collect()}
+    """Where a word's restaurant lives changes no score: also of unseen words and pairs."""
+    texts = {d: " ".join(f"w{(d * 7 + i * i) % (30 + d)}" for i in range(40)) + f" only{d} twice{d // 2} twice{d // 2 + 1}" for d in range(80)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     all_ = {r["doc_id"]: r for r in pitman_yor.language_model_scores(docs).collect()}
-    for d in texts:
-        assert few[d]["n_known"] == all_[d]["n_known"] and math.isclose(few[d]["base_score"], all_[d]["base_score"], rel_tol=1e-9)
-    held = [d for d in texts if few[d]["held_out"]]
-    assert sum(few[d]["score"] for d in held) > sum(few[d]["base_score"] for d in held)
+    for resident in (1, 10, 60):
+        few = {r["doc_id"]: r for r in pitman_yor.language_model_scores(docs, settings=pitman_yor.Settings(resident=resident, flush_tokens=500)).collect()}
+        assert len(few) == len(texts)
+        for d in texts:
+            assert few[d]["n_known"] == all_[d]["n_known"] and math.isclose(few[d]["base_score"], all_[d]["base_score"], rel_tol=1e-9)
+            assert abs(few[d]["score"] - all_[d]["score"]) < 1e-3
+    plain = spark.createDataFrame([(d, text.split(" only")[0]) for d, text in texts.items()], "doc_id long, text string")
+    few = [r for r in pitman_yor.language_model_scores(plain, settings=pitman_yor.Settings(resident=10)).collect() if r["held_out"]]
+    assert sum(r["score"] for r in few) > sum(r["base_score"] for r in few)
 
 
 def test_pitman_yor_edges(edge, empty):

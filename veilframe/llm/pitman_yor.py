@@ -1,8 +1,8 @@
 """LM scoring: a hierarchical Pitman-Yor model of words.
 
-Each context (the word before; START; one shared context for rare words) is a
-restaurant of a Pitman-Yor process whose parent, shared by all, is the unigram
-restaurant, whose parent is uniform over the training words and one unknown. Seating
+Each context (the word before, whatever its frequency; START) is a restaurant of a
+Pitman-Yor process whose parent, shared by all, is the unigram restaurant, whose parent
+is uniform over the training words and one unknown. Seating
 is sampled by Gibbs in sweeps: all customers of a dish leave and are seated anew, one
 after another (in steps of a fixed fraction once hundreds sit), given the parent's
 current probabilities; the tables of all restaurants are the parent's customers. A
@@ -11,16 +11,21 @@ word's probability is the average of the predictive probabilities of the last sw
 How it is distributed:
 
 * Words are counted over all training texts. The `resident` most frequent get a number
-  and are broadcast with their exact counts (a fixed bound, about 1 MB for each sweep);
-  all other words live in the part of their hash.
-* Word pairs are counted over all training texts. A pair with a resident second word is
-  dealt by the pair's hash, so no frequent word gathers in one task; other pairs by
-  their second word. Parts are columns of numbers, sorted and compressed.
+  and are broadcast with their exact counts (a fixed bound, about 1 MB for each sweep).
+  Every other word is owned by the part of its hash, as a word and as a context.
+  `resident` decides where a restaurant lives, never what it holds.
+* Word pairs are counted over all training texts. A pair of resident words is dealt by
+  the pair's hash, so no frequent word gathers in one task. A pair with one other word
+  goes to that word's owner; a pair of two others to both owners. Parts are columns of
+  numbers, sorted and compressed.
 * A sweep reads the pairs that occur twice or more (a pair seen once has one table) and
   sends back sums of tables for each resident word and context, added up by blocks.
-* To score, each text sends its distinct pairs to their parts and gets back sums. Pairs
-  so frequent that they would crowd a part (over 1 in `hot` of all tokens, so fewer than
-  `hot` pairs) are scored at once from a broadcast table.
+  Owners that share repeated pairs tell each other, after each sweep, the tables of the
+  context and the customers and tables of the word, and so seat the pair alike.
+* To score, each text sends its distinct pairs to their parts and gets back sums; of a
+  pair of two other words it gets both owners' numbers. Pairs so frequent that they would
+  crowd a part (over 1 in `hot` of all tokens, so fewer than `hot` pairs, all of resident
+  words) are scored at once from a broadcast table.
 
 Random numbers are hashes of the pair, the sweep and the customer, so that every task
 that meets a pair seats it alike, also when it is run again.
@@ -35,7 +40,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -49,8 +54,9 @@ from .common import Scratch, fold, lower_words_of
 from .minhash import WordHashes, mix
 
 U64 = np.uint64
-END_WORD = b"\n"  # no word can be this
+END_WORD, START_WORD = b"\n", b" "  # no words can be these
 ROWS = "part int, kind int, flush long, blob binary"
+STATE, MESSAGE, PAIRS, SUMS = range(4)  # kinds of rows between sweeps; the block of sums is in `flush`
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -141,29 +147,24 @@ class Counts:
     base_discount: float
 
     @property
-    def rare(self) -> int:
+    def start(self) -> int:
         return len(self.words)
 
     @property
-    def start(self) -> int:
-        return len(self.words) + 1
+    def hashes(self) -> np.ndarray:
+        """Of each context with a number."""
+        return np.append(self.words, U64(WordHashes()[START_WORD]))
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each resident word, -1 for others."""
-        if not len(self.words):
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        return _places(self.words, hashes)
 
     def followed(self) -> np.ndarray:
-        """Customers of each context: of resident words, of the rare, of START."""
-        end = self.numbers(np.array([WordHashes()[END_WORD]], U64))[0]
+        """Customers of each context with a number."""
+        end = self.numbers(np.array([WordHashes()[END_WORD]], U64))
         own = self.counts.astype(np.float64)
-        total_end = 0.0
-        if end >= 0:
-            total_end, own = own[end], own.copy()
-            own[end] = 0.0
-        return np.concatenate([own, [self.tokens - total_end - own.sum(), float(self.texts)]])
+        own[end[end >= 0]] = 0.0
+        return np.append(own, float(self.texts))
 
     @property
     def floor(self) -> float:
@@ -186,8 +187,31 @@ class Sweep:
         return (customers - model.base_discount * tables + spare * model.floor) / (s.base_strength + self.all_customers)
 
 
-def rare_key(wh: np.ndarray, ctx: np.ndarray) -> np.ndarray:
-    return mix(wh + mix(ctx.astype(U64) + U64(77)))
+def _places(of: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key stands in the sorted `of`, -1 if nowhere."""
+    if not len(of):
+        return np.full(len(keys), -1, np.int64)
+    at = np.minimum(np.searchsorted(of, keys), len(of) - 1)
+    return np.where(of[at] == keys, at, -1)
+
+
+def pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The random key of a pair, by the hashes of both words."""
+    return mix(mix(context + U64(77)) + word)
+
+
+def _halves(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (key >> U64(32)).astype(np.int64), (key & U64(0xFFFFFFFF)).astype(np.int64)
+
+
+def dealt(owner: np.ndarray, other: np.ndarray, n: np.ndarray, parts: int):
+    """Distinct (owner, other) with sums of n, sorted by the owner's part, owner and other; and where each part begins."""
+    by = np.lexsort((other, owner, owner % U64(parts)))
+    owner, other, n = owner[by], other[by], n[by].astype(np.int64)
+    if len(owner):
+        at = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (other[1:] != other[:-1]))))
+        owner, other, n = owner[at], other[at], np.add.reduceat(n, at)
+    return owner, other, n, _cuts((owner % U64(parts)).astype(np.int64), parts)
 
 
 def _texts(batches: Iterator[pa.RecordBatch], s: Settings):
@@ -250,58 +274,57 @@ def _gather_words(most: int):
 
 
 def _pairs(model: Counts, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token: its context, its number (-1 if rare), and the first token of each text."""
+    """Of each token: the hash of the word before, its number and the token's number (-1 if not resident)."""
     number = model.numbers(tokens)
-    ends = np.cumsum(sizes)
-    first = ends - sizes
-    ctx = np.empty(len(tokens), np.int64)
-    ctx[1:] = number[:-1]
-    ctx[ctx < 0] = model.rare
-    ctx[first] = model.start
-    return ctx, number, first
+    first = np.cumsum(sizes) - sizes
+    before, ctx = np.empty_like(tokens), np.empty(len(tokens), np.int64)
+    before[1:], ctx[1:] = tokens[:-1], number[:-1]
+    before[first], ctx[first] = WordHashes()[START_WORD], model.start
+    return before, ctx, number
+
+
+#: Pairs with a word that is not resident: its owner's role, and what the other one is told by.
+SIDES = ("word", "context", "out", "in")
+
+
+def _sides(tokens, before, ctx, number):
+    """Tokens of each side as (name, places, owners, others).
+
+    word: a word after a resident context. context: a resident word after it. out, in:
+    pairs of two such words, as the context's owner and as the word's owner sees them.
+    """
+    one, two, both = np.flatnonzero((ctx >= 0) & (number < 0)), np.flatnonzero((ctx < 0) & (number >= 0)), np.flatnonzero((ctx < 0) & (number < 0))
+    yield "word", one, tokens[one], ctx[one]
+    yield "context", two, before[two], number[two]
+    yield "out", both, before[both], tokens[both]
+    yield "in", both, tokens[both], before[both]
 
 
 def _count_pairs(shared, parts: int, s: Settings):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Counts = shared.value["model"]
         for _, _, tokens, sizes in _texts(batches, s):
-            ctx, number, _ = _pairs(model, tokens, sizes)
-            known = number >= 0
+            before, ctx, number = _pairs(model, tokens, sizes)
+            known = (ctx >= 0) & (number >= 0)
             key, n = summed((ctx[known].astype(U64) << U64(32)) | number[known].astype(U64), np.ones(int(known.sum()), np.int64))
             part = (mix(key) % U64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cut = _cuts(part[order], parts)
-            rare = np.flatnonzero(~known)
-            wh, rc = tokens[rare], ctx[rare]
-            by = np.lexsort((rc, wh, (wh % U64(parts)).astype(np.int64)))
-            wh, rc = wh[by], rc[by]
-            if len(wh):
-                at = np.flatnonzero(np.concatenate(([True], (wh[1:] != wh[:-1]) | (rc[1:] != rc[:-1]))))
-                rn = np.diff(np.append(at, len(wh)))
-                wh, rc = wh[at], rc[at]
-            else:
-                rn = np.zeros(0, np.int64)
-            rcut = _cuts((wh % U64(parts)).astype(np.int64), parts)
+            sides = {name: dealt(owner, other, np.ones(len(owner), np.int64), parts) for name, _, owner, other in _sides(tokens, before, ctx, number)}
             rows = []
             for p in range(parts):
-                a, b, c, d = cut[p], cut[p + 1], rcut[p], rcut[p + 1]
-                if b > a or d > c:
-                    rows.append((p, 0, 0, pack(d_key=key[order[a:b]], n=small(n[order[a:b]]), d_wh=wh[c:d], ctx=small(rc[c:d]), rn=small(rn[c:d]))))
+                a, b = cut[p], cut[p + 1]
+                arrays = {}
+                for name, (owner, other, m, at) in sides.items():
+                    c, d = at[p], at[p + 1]
+                    arrays |= {f"d_{name}": owner[c:d], f"{name}_other": small(other[c:d]), f"{name}_n": small(m[c:d])}
+                if b > a or any(len(x) for x in arrays.values()):
+                    rows.append((p, 0, 0, pack(d_key=key[order[a:b]], n=small(n[order[a:b]]), **arrays)))
             yield _batch(rows)
 
     return count
 
 
-def _rare_counts(wh: np.ndarray, ctx: np.ndarray, n: np.ndarray):
-    """Pairs with a rare word, summed: word of each pair, context, count; sorted by word."""
-    by = np.lexsort((ctx, wh))
-    wh, ctx, n = wh[by], ctx[by].astype(np.int64), n[by].astype(np.int64)
-    if not len(wh):
-        return wh, ctx, n
-    at = np.flatnonzero(np.concatenate(([True], (wh[1:] != wh[:-1]) | (ctx[1:] != ctx[:-1]))))
-    return wh[at], ctx[at], np.add.reduceat(n, at)
-
-
 def _sums(context: np.ndarray, words: np.ndarray, scalars: list[float], s: Settings) -> list[tuple[int, bytes]]:
     """Dense sums in blocks, for adding up by block."""
     out = [(-1, pack(x=np.array(scalars, np.float64)))]
@@ -317,72 +340,93 @@ def _add(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _collect_sums(df: DataFrame, size: int, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(context sums, word sums, scalars) of all parts; their size is fixed by the resident bound."""
-    got = {r["block"]: unpack(r["blob"])["x"] for r in df.select("block", "blob").groupBy("block").applyInPandas(_add, "block int, blob binary").collect()}
+    got = {r["block"]: unpack(r["blob"])["x"] for r in df.select("block", "blob").groupBy("block").applyInPandas(_add, "block long, blob binary").collect()}
     if not got:
-        return np.zeros(size + 2), np.zeros(size), np.zeros(8)
+        return np.zeros(size + 1), np.zeros(size), np.zeros(8)
     join = lambda base, n: np.concatenate([got[base + i] for i in range(-(-n // s.block))]) if n else np.zeros(0)
-    return join(0, size + 2), join(1 << 20, size), got[-1]
+    return join(0, size + 1), join(1 << 20, size), got[-1]
+
+
+def _meet(mine: np.ndarray, theirs: np.ndarray, out: bool, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order in which two owners list their common pairs (by partner, context, word), and where each partner begins."""
+    partner = (theirs % U64(parts)).astype(np.int64)
+    order = np.lexsort((theirs, mine, partner) if out else (mine, theirs, partner))
+    return order, _cuts(partner[order], parts)
+
+
+def _messages(f: dict, part: int, parts: int) -> list[tuple[int, int, int, bytes]]:
+    """What the owners of the other words of repeated pairs need of this part's words."""
+    out, cut = _meet(f["d_words"][f["out_at"]], f["out_other"], True, parts)
+    into, cut_in = _meet(f["d_words"][f["in_at"]], f["in_other"], False, parts)
+    tables, at = f["context_tables"][f["out_at"]][out], f["in_at"][into]
+    customers, seated = f["customers"][at], f["tables"][at]
+    rows = []
+    for q in np.flatnonzero((np.diff(cut) > 0) | (np.diff(cut_in) > 0)):
+        a, b, c, d = cut[q], cut[q + 1], cut_in[q], cut_in[q + 1]
+        rows.append((int(q), MESSAGE, part, pack(context=small(tables[a:b]), customers=small(customers[c:d]), tables=small(seated[c:d]))))
+    return rows
 
 
-def _gather_pairs(shared, s: Settings):
+def _gather_pairs(shared, parts: int, s: Settings):
     """A part's pairs: what the sweeps need of them, and their sums with one table each."""
 
     def gather(rows: pd.DataFrame) -> pd.DataFrame:
         model: Counts = shared.value["model"]
         found = [unpack(b) for b in rows["blob"]]
-        key, n = summed(np.concatenate([f["d_key"] for f in found]), np.concatenate([f["n"].astype(np.int64) for f in found]))
-        wh, ctx, rn = _rare_counts(*(np.concatenate([f[k] for f in found]) for k in ("d_wh", "ctx", "rn")))
+        join = lambda name: np.concatenate([f[name] for f in found])
+        key, n = summed(join("d_key"), join("n").astype(np.int64))
+        sides = {name: dealt(join(f"d_{name}"), join(f"{name}_other"), join(f"{name}_n"), 1)[:3] for name in SIDES}
         size = len(model.words)
-        kc, kw = (key >> U64(32)).astype(np.int64), (key & U64(0xFFFFFFFF)).astype(np.int64)
-        contexts = (np.bincount(kc, minlength=size + 2) + np.bincount(ctx, minlength=size + 2)).astype(np.float64)
-        words = np.bincount(kw, minlength=size).astype(np.float64)
+        kc, kw = _halves(key)
         once, more = n == 1, n > 1
-        rare_words, at = np.unique(wh, return_inverse=True)
-        customers = np.bincount(at, minlength=len(rare_words))
-        many = rn > 1
-        singles = customers - np.bincount(at[many], minlength=len(rare_words))
-        state = pack(
+        own = np.unique(np.concatenate([sides["word"][0], sides["in"][0]]))  # each context is a training word, too
+        at = {name: np.searchsorted(own, owner) for name, (owner, _, _) in sides.items()}
+        tally = lambda name, weights=None: np.bincount(at[name], weights, len(own)).astype(np.int64)
+        single = {name: m == 1 for name, (_, _, m) in sides.items()}
+        after, follow = sides["word"][1].astype(np.int64), sides["context"][1].astype(np.int64)
+        pairs = pack(
             d_key=key[more],
             n=n[more],
-            single_ctx=small(np.bincount(kc[once], minlength=size + 2) + np.bincount(ctx[~many], minlength=size + 2)),
-            single_word=small(np.bincount(kw[once], minlength=size)),
-            d_rare=rare_words,
-            singles=small(singles),
-            at=small(at[many]),
-            ctx=small(ctx[many]),
-            rn=small(rn[many]),
+            single_context=small(np.bincount(kc[once], minlength=size + 1) + np.bincount(after[single["word"]], minlength=size + 1)),
+            single_word=small(np.bincount(kw[once], minlength=size) + np.bincount(follow[single["context"]], minlength=size)),
         )
-        every = np.concatenate([n, rn])
-        scalars = [float(len(every)), float((every == 1).sum()), float((every == 2).sum()), float(customers.sum()), float(len(rare_words))]
-        out = [(-2, state), *_sums(contexts, words, scalars, s)]
-        return pd.DataFrame(out, columns=["block", "blob"])
+        customers = tally("word") + tally("in")
+        state = {
+            "d_words": own,
+            "count": tally("word", sides["word"][2]) + tally("in", sides["in"][2]),
+            "single_in": tally("word", single["word"]) + tally("in", single["in"]),
+            "single_out": tally("context", single["context"]) + tally("out", single["out"]),
+            "customers": customers,
+            "tables": np.minimum(customers, 1),
+            "context_tables": tally("context") + tally("out"),
+        }
+        for name, (_, other, m) in sides.items():
+            state |= {f"{name}_at": at[name][m > 1], f"{name}_other": other[m > 1], f"{name}_n": m[m > 1]}
+        contexts = (np.bincount(kc, minlength=size + 1) + np.bincount(after, minlength=size + 1)).astype(np.float64)
+        words = (np.bincount(kw, minlength=size) + np.bincount(follow, minlength=size)).astype(np.float64)
+        every = np.concatenate([n, *(sides[name][2] for name in SIDES if name != "in")])
+        scalars = [float(len(every)), float((every == 1).sum()), float((every == 2).sum()), float(customers.sum()), float(len(own))]
+        part = int(rows["part"].iloc[0])
+        out = [(part, PAIRS, 0, pairs), (part, STATE, 0, _keep(state)), *_messages(state, part, parts)]
+        out += [(part, SUMS, block, blob) for block, blob in _sums(contexts, words, scalars, s)]
+        return pd.DataFrame(out, columns=["part", "kind", "flush", "blob"])
 
     return gather
 
 
-def seat_part(f: dict, model: Counts, last: Sweep, discount: float, number: int, rare_customers: np.ndarray, rare_tables: np.ndarray, s: Settings):
-    """One sweep over a part: tables of its resident pairs, of its rare pairs, and its rare words in the parent."""
-    kc, kw = (f["d_key"] >> U64(32)).astype(np.int64), (f["d_key"] & U64(0xFFFFFFFF)).astype(np.int64)
-    spare = s.strength + discount * last.context_tables
-    p = last.parent(last.customers[kw], last.tables[kw], model, s)
-    t = seat(f["n"].astype(np.int64), spare[kc] * p, discount, mix(f["d_key"]), number)
-    at, ctx = f["at"].astype(np.int64), f["ctx"].astype(np.int64)
-    p = last.parent(rare_customers, rare_tables, model, s)[at]
-    rt = seat(f["rn"].astype(np.int64), spare[ctx] * p, discount, rare_key(f["d_rare"][at], ctx), number)
-    customers = f["singles"].astype(np.int64) + np.bincount(at, rt, len(f["singles"])).astype(np.int64)
-    weight = np.full(len(customers), (s.base_strength + model.base_discount * last.all_tables) * model.floor)
-    tables = seat(customers, weight, model.base_discount, mix(f["d_rare"] + U64(5)), number)
-    return t, rt, customers, tables
+def _keep(state: dict) -> bytes:
+    """A part's own words; all but hashes are small whole numbers."""
+    return pack(**{k: v if k == "d_words" else small(v) for k, v in state.items()})
 
 
-def _initial(f: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Rare words before the first sweep: one table for each pair, one in the parent."""
-    customers = f["singles"].astype(np.int64) + np.bincount(f["at"].astype(np.int64), minlength=len(f["singles"]))
-    return customers, np.minimum(customers, 1)
+def seat_pairs(kc, kw, n, model: Counts, last: Sweep, discount: float, number: int, s: Settings) -> np.ndarray:
+    """Tables of pairs of resident words in one sweep."""
+    weight = (s.strength + discount * last.context_tables)[kc] * last.parent(last.customers[kw], last.tables[kw], model, s)
+    return seat(n.astype(np.int64), weight, discount, pair_key(model.hashes[kc], model.words[kw]), number)
 
 
 def _sweep(shared, s: Settings, hot_at: float | None = None):
-    """The next sweep over parts; with hot_at, instead the pairs that frequent and their tables in each sweep."""
+    """The next sweep over pairs of resident words; with hot_at, instead the pairs that frequent and their tables in each sweep."""
 
     def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         know = shared.value
@@ -391,21 +435,75 @@ def _sweep(shared, s: Settings, hot_at: float | None = None):
         for batch in batches:
             for blob in batch["blob"]:
                 f = unpack(blob)
-                rc, rt1 = _initial(f)
-                kept = f["n"] >= hot_at if hot_at is not None else None
-                tables = []
-                # Earlier sweeps are told again for the rare words, whose state is nowhere else.
-                for number, last in enumerate(states if hot_at is None else states[:-1], 1):
-                    t, rt, rc, rt1 = seat_part(f, model, last, discount, number, rc, rt1, s)
-                    if hot_at is not None:
-                        tables.append(t[kept])
+                kc, kw = _halves(f["d_key"])
                 if hot_at is not None:
+                    kept = f["n"] >= hot_at
+                    tables = [seat_pairs(kc[kept], kw[kept], f["n"][kept], model, last, discount, number, s) for number, last in enumerate(states[:-1], 1)]
                     yield pd.DataFrame([(0, pack(key=f["d_key"][kept], n=f["n"][kept], t=np.array(tables)))], columns=["block", "blob"])
                     continue
-                kc, kw = (f["d_key"] >> U64(32)).astype(np.int64), (f["d_key"] & U64(0xFFFFFFFF)).astype(np.int64)
-                contexts = f["single_ctx"] + np.bincount(kc, t, size + 2) + np.bincount(f["ctx"].astype(np.int64), rt, size + 2)
+                t = seat_pairs(kc, kw, f["n"], model, states[-1], discount, len(states), s)
+                contexts = f["single_context"] + np.bincount(kc, t, size + 1)
                 words = f["single_word"] + np.bincount(kw, t, size)
-                yield pd.DataFrame(_sums(contexts, words, [float(rc.sum()), float(rt1.sum())], s), columns=["block", "blob"])
+                yield pd.DataFrame(_sums(contexts, words, [0.0, 0.0], s), columns=["block", "blob"])
+
+    return sweep
+
+
+def _sweep_owned(shared, parts: int, s: Settings):
+    """The next sweep over a part's own words, given its state and what other owners told."""
+
+    def sweep(rows: pd.DataFrame) -> pd.DataFrame:
+        know = shared.value
+        model, last, discount, number = know["model"], know["states"][-1], know["discount"], len(know["states"])
+        part = int(rows["part"].iloc[0])
+        f = unpack(rows.loc[rows["kind"] == STATE, "blob"].iloc[0])
+        told = [unpack(b) for b in rows[rows["kind"] == MESSAGE].sort_values("flush")["blob"]]
+        own = f["d_words"]
+        at = {name: f[f"{name}_at"].astype(np.int64) for name in SIDES}
+        n = {name: f[f"{name}_n"].astype(np.int64) for name in SIDES}
+        after, follow = f["word_other"].astype(np.int64), f["context_other"].astype(np.int64)
+        f["out_other"], f["in_other"] = f["out_other"].astype(U64), f["in_other"].astype(U64)
+
+        def told_of(name: str, order: np.ndarray) -> np.ndarray:
+            values = np.zeros(len(order), np.int64)
+            if len(order):
+                values[order] = np.concatenate([m[name].astype(np.int64) for m in told])
+            return values
+
+        out, _ = _meet(own[at["out"]], f["out_other"], True, parts)
+        into, _ = _meet(own[at["in"]], f["in_other"], False, parts)
+        room = s.strength + discount * f["context_tables"].astype(np.float64)
+        parent = last.parent(f["customers"].astype(np.int64), f["tables"].astype(np.int64), model, s)
+        weight = {
+            "word": (s.strength + discount * last.context_tables)[after] * parent[at["word"]],
+            "context": room[at["context"]] * last.parent(last.customers[follow], last.tables[follow], model, s),
+            "out": room[at["out"]] * last.parent(told_of("customers", out), told_of("tables", out), model, s),
+            "in": (s.strength + discount * told_of("context", into)) * parent[at["in"]],
+        }
+        key = {
+            "word": pair_key(model.hashes[after], own[at["word"]]),
+            "context": pair_key(own[at["context"]], model.words[follow]),
+            "out": pair_key(own[at["out"]], f["out_other"]),
+            "in": pair_key(f["in_other"], own[at["in"]]),
+        }
+        t = {name: seat(n[name], weight[name], discount, key[name], number) for name in SIDES}
+        tally = lambda name: np.bincount(at[name], t[name], len(own)).astype(np.int64)
+        f["customers"] = f["single_in"].astype(np.int64) + tally("word") + tally("in")
+        f["context_tables"] = f["single_out"].astype(np.int64) + tally("context") + tally("out")
+        floor = np.full(len(own), (s.base_strength + model.base_discount * last.all_tables) * model.floor)
+        f["tables"] = seat(f["customers"], floor, model.base_discount, mix(own + U64(5)), number)
+        if number > s.sweeps - s.averaged:  # what scoring needs of this sample
+            for name in ("customers", "tables", "context_tables"):
+                f[f"past_{name}"] = np.vstack([*f.get(f"past_{name}", []), f[name]])
+            for name in ("word", "context", "out"):
+                f[f"past_{name}"] = np.vstack([*f.get(f"past_{name}", []), t[name]])
+        rows = [(part, STATE, 0, _keep(f))]
+        if number < s.sweeps:
+            rows += _messages(f, part, parts)
+        size = len(model.words)
+        sums = _sums(np.bincount(after, t["word"], size + 1), np.bincount(follow, t["context"], size), [float(f["customers"].sum()), float(f["tables"].sum())], s)
+        rows += [(part, SUMS, block, blob) for block, blob in sums]
+        return pd.DataFrame(rows, columns=["part", "kind", "flush", "blob"])
 
     return sweep
 
@@ -422,15 +520,46 @@ def _ask(shared, parts: int, s: Settings):
         task = TaskContext.get().partitionId()
         for turn, (ids, train, tokens, sizes) in enumerate(_texts(batches, s)):
             flush = (task << 24) + turn
-            ctx, number, _ = _pairs(model, tokens, sizes)
+            before, ctx, number = _pairs(model, tokens, sizes)
             doc = np.repeat(np.arange(len(ids)), sizes)
-            known = number >= 0
-            key = (ctx.astype(U64) << U64(32)) | np.where(known, number, 0).astype(U64)
+            known, resident = number >= 0, (number >= 0) & (ctx >= 0)
+            key = (np.where(resident, ctx, 0).astype(U64) << U64(32)) | np.where(resident, number, 0).astype(U64)
             if len(hot):
                 place = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
-                at_once = known & (hot[place] == key)
+                at_once = resident & (hot[place] == key)
             else:
                 place, at_once = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+            # Distinct (pair, text) of resident pairs, with counts.
+            sent = np.flatnonzero(resident & ~at_once)
+            part = (mix(key[sent]) % U64(parts)).astype(np.int64)
+            sent = sent[np.lexsort((doc[sent], key[sent], part))]
+            k, d = key[sent], doc[sent]
+            first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))) if len(k) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(k)))
+            k, d = k[first], d[first]
+            cut = _cuts((mix(k) % U64(parts)).astype(np.int64), parts)
+            # Tokens with one word that is not resident go to its owner.
+            sides, both = {}, None
+            for name, at, owner, other in _sides(tokens, before, ctx, number):
+                by = np.lexsort((doc[at], other, owner, owner % U64(parts)))
+                at, owner, other = at[by], owner[by], other[by]
+                if name in ("word", "context"):
+                    sides[name] = owner, other, doc[at], _cuts((owner % U64(parts)).astype(np.int64), parts)
+                elif name == "out":
+                    both = at, owner, other
+            # Of two such words: distinct pairs to the contexts' owners, distinct words to theirs; texts stay here.
+            at, owner, other = both
+            new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (other[1:] != other[:-1]))) if len(at) else np.zeros(0, bool)
+            pair = np.cumsum(new) - 1
+            owner, other = owner[new], other[new]
+            learnt = np.bincount(pair, train[doc[at]], len(owner)).astype(np.int64)
+            cut_out = _cuts((owner % U64(parts)).astype(np.int64), parts)
+            word, place_of = np.unique(other, return_inverse=True)
+            by = np.lexsort((word, word % U64(parts)))
+            rank = np.empty(len(by), np.int64)
+            rank[by] = np.arange(len(by))
+            word = word[by]
+            cut_in = _cuts((word % U64(parts)).astype(np.int64), parts)
             local = pack(
                 ids=[i for i in ids],
                 train=train,
@@ -438,26 +567,24 @@ def _ask(shared, parts: int, s: Settings):
                 known=np.bincount(doc[known], minlength=len(ids)),
                 base=np.bincount(doc[known], log_base[number[known]], len(ids)) - bottom * sizes,
                 score=np.bincount(doc[at_once], hot_score[place[at_once]] if len(hot) else None, len(ids)),
+                pair_doc=doc[at].astype(np.uint16),
+                pair=small(pair),
+                pair_word=small(rank[place_of]),
+                words=len(word),
             )
             rows = [(flush % parts, 1, flush, local)]
-            # Distinct (pair, text) with counts: resident pairs, then pairs with a rare word.
-            sent = np.flatnonzero(known & ~at_once)
-            part = (mix(key[sent]) % U64(parts)).astype(np.int64)
-            sent = sent[np.lexsort((doc[sent], key[sent], part))]
-            k, d = key[sent], doc[sent]
-            first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))) if len(k) else np.zeros(0, np.int64)
-            n = np.diff(np.append(first, len(k)))
-            k, d = k[first], d[first]
-            cut = _cuts((mix(k) % U64(parts)).astype(np.int64), parts)
-            rare = np.flatnonzero(~known)
-            wh, rc, rd = tokens[rare], ctx[rare], doc[rare]
-            by = np.lexsort((rd, rc, wh, (wh % U64(parts)).astype(np.int64)))
-            wh, rc, rd = wh[by], rc[by], rd[by]
-            rcut = _cuts((wh % U64(parts)).astype(np.int64), parts)
             for p in range(parts):
-                a, b, e, g = cut[p], cut[p + 1], rcut[p], rcut[p + 1]
-                if b > a or g > e:
-                    rows.append((p, 0, flush, pack(d_key=k[a:b], doc=d[a:b].astype(np.uint16), n=small(n[a:b]), d_wh=wh[e:g], ctx=small(rc[e:g]), rdoc=rd[e:g].astype(np.uint16), train=np.packbits(train))))
+                a, b = cut[p], cut[p + 1]
+                arrays = {"out_from": int(cut_out[p]), "in_from": int(cut_in[p]), "d_in": word[cut_in[p] : cut_in[p + 1]]}
+                some = b > a or len(arrays["d_in"]) > 0
+                for name, (one, two, texts, cuts) in sides.items():
+                    e, g = cuts[p], cuts[p + 1]
+                    some = some or g > e
+                    arrays |= {f"d_{name}": one[e:g], f"{name}_other": small(two[e:g]), f"{name}_doc": texts[e:g].astype(np.uint16)}
+                e, g = cut_out[p], cut_out[p + 1]
+                arrays |= {"d_out": owner[e:g], "out_other": other[e:g], "out_n": small(learnt[e:g])}
+                if some or g > e:
+                    rows.append((p, 0, flush, pack(d_key=k[a:b], doc=d[a:b].astype(np.uint16), n=small(n[a:b]), train=np.packbits(train), **arrays)))
             yield _batch(rows)
 
     return ask
@@ -468,90 +595,135 @@ def _answer(shared, s: Settings):
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         know = shared.value
-        model, states, discount = know["model"], know["states"], know["discount"]
-        followed = know["followed"]
+        model, states, discount, followed = know["model"], know["states"], know["discount"], know["followed"]
+        size, samples = len(model.words), range(len(states) - s.averaged, len(states))
         out = [(r.flush, 1, r.blob) for r in rows[rows["kind"] == 1].itertuples()]
+        kept = [unpack(b) for b in rows.loc[rows["kind"] == 2, "blob"]]
         rows = rows[rows["kind"] == 0].sort_values("flush", kind="stable")
         if not len(rows):
             return pd.DataFrame(out, columns=["flush", "kind", "blob"])
         found = [unpack(b) for b in rows["blob"]]
         train = [np.unpackbits(f["train"]).astype(bool) for f in found]
         join = lambda name: np.concatenate([f[name] for f in found])
-        key, wh, rc = join("d_key"), join("d_wh"), join("ctx").astype(np.int64)
-        learnt = np.concatenate([t[f["doc"]] for t, f in zip(train, found, strict=True)]) * join("n").astype(np.int64)
-        rare_learnt = np.concatenate([t[f["rdoc"]] for t, f in zip(train, found, strict=True)]).astype(np.int64)
-        pairs, at = np.unique(key, return_inverse=True)
-        n = np.bincount(at, learnt, len(pairs)).astype(np.int64)
-        rare_words, word_at = np.unique(wh, return_inverse=True)
-        pair_id = word_at.astype(np.int64) * (len(model.words) + 2) + rc
-        rare_pairs, rare_at = np.unique(pair_id, return_inverse=True)
-        rn = np.bincount(rare_at, rare_learnt, len(rare_pairs)).astype(np.int64)
-        pw, pc = rare_pairs // (len(model.words) + 2), rare_pairs % (len(model.words) + 2)
-        count = np.bincount(pw, rn, len(rare_words)).astype(np.int64)
-
-        kc, kw = (pairs >> U64(32)).astype(np.int64), (pairs & U64(0xFFFFFFFF)).astype(np.int64)
-        more, many = n > 1, rn > 1
-        view = {
-            "d_key": pairs[more],
-            "n": n[more],
-            "d_rare": rare_words,
-            "singles": np.bincount(pw[rn == 1], minlength=len(rare_words)),
-            "at": pw[many],
-            "ctx": pc[many],
-            "rn": rn[many],
-        }
-        customers, tables = _initial(view)
-        t, rt = np.minimum(n, 1), np.minimum(rn, 1)
-        p, rp = np.zeros(len(pairs)), np.zeros(len(rare_pairs))
-        for number in range(1, len(states)):
-            seated, rare_seated, customers, tables = seat_part(view, model, states[number - 1], discount, number, customers, tables, s)
-            if number < len(states) - s.averaged:
-                continue
+        learns = lambda docs: np.concatenate([t[f[docs]] for t, f in zip(train, found, strict=True)]).astype(np.int64)
+
+        # Pairs of resident words: all sweeps told again.
+        pairs, at = np.unique(join("d_key"), return_inverse=True)
+        n = np.bincount(at, learns("doc") * join("n").astype(np.int64), len(pairs)).astype(np.int64)
+        kc, kw = _halves(pairs)
+        more, t, p = n > 1, np.minimum(n, 1), np.zeros(len(pairs))
+        for number in samples:
             now = states[number]
-            t[more], rt[many] = seated, rare_seated
-            spare = s.strength + discount * now.context_tables
-            parent = now.parent(now.customers[kw], now.tables[kw], model, s)
-            p += (n - discount * t + spare[kc] * parent) / (s.strength + followed[kc])
-            parent = now.parent(customers, tables, model, s)[pw]
-            rp += (rn - discount * rt + spare[pc] * parent) / (s.strength + followed[pc])
+            t[more] = seat_pairs(kc[more], kw[more], n[more], model, states[number - 1], discount, number, s)
+            p += (n - discount * t + (s.strength + discount * now.context_tables[kc]) * now.parent(now.customers[kw], now.tables[kw], model, s)) / (s.strength + followed[kc])
         # Hundred-thousandths of a decade, so that sums are small whole numbers.
         score = np.rint(-1e5 * np.log10(p / s.averaged)).astype(np.int64)
-        rare_score = np.rint(-1e5 * np.log10(rp / s.averaged)).astype(np.int64)
+
+        # This part's own words, in the order of their hashes; those not in any training text have only zeros.
+        own = np.unique(np.concatenate([join(f"d_{name}") for name in SIDES]))
+        place = _places(kept[0]["d_words"], own) if kept else np.full(len(own), -1)
+        there = place >= 0
+
+        def of_words(name: str) -> np.ndarray:
+            values = np.zeros((s.averaged, len(own)), np.int64)
+            if kept:
+                values[:, there] = kept[0][name][..., place[there]]
+            return values
+
+        customers, tables, context_tables = of_words("past_customers"), of_words("past_tables"), of_words("past_context_tables")
+        count = of_words("count")[0]
+
+        def counted(name: str, learnt: np.ndarray):
+            """Distinct pairs of one side: each row's pair, and the pairs' owner, other one, customers and tables."""
+            others, other = np.unique(join(f"{name}_other"), return_inverse=True)
+            ids, row = np.unique(np.searchsorted(own, join(f"d_{name}")) * max(len(others), 1) + other, return_inverse=True)
+            n = np.bincount(row, learnt, len(ids)).astype(np.int64)
+            seated = np.tile(np.minimum(n, 1), (s.averaged, 1))
+            if (n > 1).any():  # the same pairs, in the same order, as in the sweeps
+                seated[:, n > 1] = kept[0][f"past_{name}"]
+            return row, ids // max(len(others), 1), others[ids % max(len(others), 1)], n, seated
+
+        word_row, w, c, wn, wt = counted("word", learns("word_doc"))
+        context_row, u, r, un, ut = counted("context", learns("context_doc"))
+        c, r = c.astype(np.int64), r.astype(np.int64)
+        wp, up = np.zeros(len(w)), np.zeros(len(u))
+        for i, number in enumerate(samples):
+            now = states[number]
+            wp += (wn - discount * wt[i] + (s.strength + discount * now.context_tables[c]) * now.parent(customers[i, w], tables[i, w], model, s)) / (s.strength + followed[c])
+            up += (un - discount * ut[i] + (s.strength + discount * context_tables[i, u]) * now.parent(now.customers[r], now.tables[r], model, s)) / (s.strength + count[u])
+        word_score, context_score = (np.rint(-1e5 * np.log10(x / s.averaged)).astype(np.int64)[y] for x, y in ((wp, word_row), (up, context_row)))
+        out_row, o, _, on, ot = counted("out", join("out_n").astype(np.int64))
+
         log_count = np.log10(count + 1.0)
-        a = e = 0
+        a = b = c = e = 0
         for flush, f in zip(rows["flush"], found, strict=True):
-            b, g = a + len(f["d_key"]), e + len(f["d_wh"])
-            size = int(max(f["doc"].max(initial=0), f["rdoc"].max(initial=0))) + 1
-            total = np.bincount(f["doc"], score[at[a:b]] * f["n"].astype(np.int64), size) + np.bincount(f["rdoc"], rare_score[rare_at[e:g]], size)
-            seen = count[word_at[e:g]] > 0
-            known = np.bincount(f["rdoc"][seen], minlength=size)
-            base = np.bincount(f["rdoc"][seen], log_count[word_at[e:g]][seen], size)
-            some = np.flatnonzero(known)
-            touched = np.flatnonzero(total)
-            out.append((flush, 0, pack(d_doc=touched.astype(np.uint16), total=small(total[touched].astype(np.int64)), d_some=some.astype(np.uint16), known=small(known[some]), base=base[some])))
-            a, e = b, g
+            a2, b2, c2, e2 = a + len(f["d_key"]), b + len(f["d_word"]), c + len(f["d_context"]), e + len(f["d_out"])
+            texts = 1 + int(max(f[name].max(initial=0) for name in ("doc", "word_doc", "context_doc")))
+            total = np.bincount(f["doc"], score[at[a:a2]] * f["n"].astype(np.int64), texts)
+            total = total + np.bincount(f["word_doc"], word_score[b:b2], texts) + np.bincount(f["context_doc"], context_score[c:c2], texts)
+            mine = w[word_row[b:b2]]
+            seen = count[mine] > 0
+            known = np.bincount(f["word_doc"][seen], minlength=texts)
+            base = np.bincount(f["word_doc"][seen], log_count[mine][seen], texts)
+            some, touched = np.flatnonzero(known), np.flatnonzero(total)
+            x, y = out_row[e:e2], np.searchsorted(own, f["d_in"])
+            reply = pack(
+                d_doc=touched.astype(np.uint16),
+                total=small(total[touched].astype(np.int64)),
+                d_some=some.astype(np.uint16),
+                known=small(known[some]),
+                base=base[some],
+                out_from=f["out_from"],
+                n=small(on[x]),
+                seated=small(ot[:, x]),
+                context_tables=small(context_tables[:, o[x]]),
+                followed=small(count[o[x]]),
+                in_from=f["in_from"],
+                count=small(count[y]),
+                customers=small(customers[:, y]),
+                tables=small(tables[:, y]),
+            )
+            out.append((flush, 0, reply))
+            a, b, c, e = a2, b2, c2, e2
         return pd.DataFrame(out, columns=["flush", "kind", "blob"])
 
     return answer
 
 
-def _finish(tokens: int):
+def _finish(model: Counts, states: list[Sweep], discount: float, s: Settings):
+    """Sums of each text; pairs of two words that are not resident are put together from both owners' replies."""
+
     def finish(rows: pd.DataFrame) -> pd.DataFrame:
         local = unpack(rows.loc[rows["kind"] == 1, "blob"].iloc[0])
         known, base, score = local["known"].astype(np.int64), local["base"].copy(), local["score"].copy()
         total = np.zeros(len(known), np.int64)
-        for blob in rows.loc[rows["kind"] == 0].sort_values("part", kind="stable")["blob"]:
+        size, words = len(local["pair_word"]), local["words"]
+        n, followed, seated, rooms = np.zeros(size), np.zeros(size), np.zeros((s.averaged, size)), np.zeros((s.averaged, size))
+        count, customers, tables = np.zeros(words), np.zeros((s.averaged, words)), np.zeros((s.averaged, words))
+        # Sums of logarithms are taken in one order, whatever the order of arrival.
+        for blob in sorted(rows.loc[rows["kind"] == 0, "blob"]):
             f = unpack(blob)
             total[f["d_doc"]] += f["total"].astype(np.int64)
             known[f["d_some"]] += f["known"]
             base[f["d_some"]] += f["base"]
+            at = slice(f["out_from"], f["out_from"] + len(f["n"]))
+            n[at], followed[at], seated[:, at], rooms[:, at] = f["n"], f["followed"], f["seated"], f["context_tables"]
+            at = slice(f["in_from"], f["in_from"] + len(f["count"]))
+            count[at], customers[:, at], tables[:, at] = f["count"], f["customers"], f["tables"]
+        pair, doc, w = local["pair"].astype(np.int64), local["pair_doc"], local["pair_word"].astype(np.int64)
+        p = np.zeros(size)
+        for i, now in enumerate(states):
+            p += (n - discount * seated[i] + (s.strength + discount * rooms[i]) * now.parent(customers[i, w], tables[i, w], model, s)) / (s.strength + followed)
+        total += np.bincount(doc, np.rint(-1e5 * np.log10(p / s.averaged))[pair], len(known)).astype(np.int64)
+        known += np.bincount(doc, (count[w] > 0)[pair], len(known)).astype(np.int64)
+        base += np.bincount(doc, np.log10(count[w] + 1.0)[pair], len(known))
         return pd.DataFrame(
             {
                 "doc_id": pd.array(local["ids"], dtype="Int64"),
                 "held_out": ~local["train"],
                 "n_tokens": local["tokens"],
                 "n_known": known,
-                "train_tokens": tokens,
+                "train_tokens": model.tokens,
                 "base_score": base,
                 "score": score - total / 1e5,
             }
@@ -584,16 +756,21 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return spark.sparkContext.broadcast({"model": model, **more})
 
     shared = share()
-    pairs = learn.mapInArrow(_count_pairs(shared, parts, s), ROWS).select("part", "blob").groupBy("part")
-    state = scratch.write(pairs.applyInPandas(_gather_pairs(shared, s), "block int, blob binary"), "pairs")
-    contexts, customers, scalars = _collect_sums(state.where("block > -2"), len(model.words), s)
+    counted = learn.mapInArrow(_count_pairs(shared, parts, s), ROWS).select("part", "blob").groupBy("part")
+    owned = scratch.write(counted.applyInPandas(_gather_pairs(shared, parts, s), ROWS), "pairs")
+    pairs = owned.where(F.col("kind") == PAIRS).select("blob")
+    sums = lambda df: df.where(F.col("kind") == SUMS).select(F.col("flush").alias("block"), "blob")
+    contexts, customers, scalars = _collect_sums(sums(owned), len(model.words), s)
     discount = estimate(scalars[1], scalars[2])
     tables = np.minimum(customers, 1)
     states = [Sweep(contexts, customers, tables, customers.sum() + scalars[3], tables.sum() + scalars[4])]
-    kept = state.where("block = -2")
     for number in range(1, s.sweeps + 1):
         know = share(states=states, discount=discount)
-        contexts, customers, scalars = _collect_sums(kept.mapInPandas(_sweep(know, s), "block int, blob binary"), len(model.words), s)
+        swept = owned.where(F.col("kind").isin(STATE, MESSAGE)).groupBy("part").applyInPandas(_sweep_owned(know, parts, s), ROWS)
+        owned = scratch.write(swept, f"sweep{number}")
+        if number > 1:
+            scratch.drop(f"sweep{number - 1}")
+        contexts, customers, scalars = _collect_sums(pairs.mapInPandas(_sweep(know, s), "block long, blob binary").union(sums(owned)), len(model.words), s)
         last = states[-1]
         weight = np.full(len(customers), (s.base_strength + model.base_discount * last.all_tables) * model.floor)
         tables = seat(customers.astype(np.int64), weight, model.base_discount, mix(model.words + U64(5)), number)
@@ -602,13 +779,13 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
     followed = model.followed()
     know = share(states=states, discount=discount)
     at_least = max(2.0, model.tokens / s.hot)
-    hot = [unpack(r["blob"]) for r in kept.mapInPandas(_sweep(know, s, at_least), "block int, blob binary").collect()]
+    hot = [unpack(r["blob"]) for r in pairs.mapInPandas(_sweep(know, s, at_least), "block long, blob binary").collect()]
     hot = [h for h in hot if len(h["key"])]
     hot_key, hot_score = np.zeros(0, U64), np.zeros(0)
     if hot:
         hot_key, hn = np.concatenate([h["key"] for h in hot]), np.concatenate([h["n"] for h in hot])
         ht = np.concatenate([h["t"] for h in hot], axis=1)
-        kc, kw = (hot_key >> U64(32)).astype(np.int64), (hot_key & U64(0xFFFFFFFF)).astype(np.int64)
+        kc, kw = _halves(hot_key)
         p = np.zeros(len(hot_key))
         for number in range(len(states) - s.averaged, len(states)):
             now = states[number]
@@ -617,6 +794,9 @@ def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str
         order = np.argsort(hot_key)
         hot_key, hot_score = hot_key[order], np.log10(p[order] / s.averaged)
     know = share(states=states, discount=discount, followed=followed, hot=(hot_key, hot_score))
-    asked = docs.mapInArrow(_ask(know, parts, s), ROWS)
+    own = owned.where(F.col("kind") == STATE).select("part", F.lit(2).alias("kind"), "flush", "blob")
+    asked = docs.mapInArrow(_ask(know, parts, s), ROWS).union(own)
     answered = asked.groupBy("part").applyInPandas(_answer(know, s), "flush long, kind int, blob binary")
-    return answered.withColumn("part", F.crc32("blob")).groupBy("flush").applyInPandas(_finish(model.tokens), RESULT)
+    none = np.zeros(0)
+    totals = [replace(now, context_tables=none, customers=none, tables=none) for now in states[-s.averaged :]]
+    return answered.groupBy("flush").applyInPandas(_finish(replace(model, words=none, counts=none), totals, discount, s), RESULT)
