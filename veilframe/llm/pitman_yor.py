@@ -204,9 +204,14 @@ def _halves(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (key >> U64(32)).astype(np.int64), (key & U64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _narrow(part: np.ndarray, parts: int) -> np.ndarray:
+    """Part numbers in a type that sorts fast, where they fit."""
+    return part.astype(np.uint16 if parts <= 1 << 16 else np.int64)
+
+
 def dealt(owner: np.ndarray, other: np.ndarray, n: np.ndarray, parts: int):
     """Distinct (owner, other) with sums of n, sorted by the owner's part, owner and other; and where each part begins."""
-    by = np.lexsort((other, owner, owner % U64(parts)))
+    by = np.lexsort((other, owner, _narrow(owner % U64(parts), parts)))
     owner, other, n = owner[by], other[by], n[by].astype(np.int64)
     if len(owner):
         at = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (other[1:] != other[:-1]))))
@@ -251,7 +256,7 @@ def _count_words(parts: int, s: Settings):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, tokens, _ in _texts(batches, s):
             keys, n = summed(tokens, np.ones(len(tokens), np.int64))
-            part = (keys % U64(parts)).astype(np.int64)
+            part = _narrow(keys % U64(parts), parts)
             order = np.argsort(part, kind="stable")
             cut = _cuts(part[order], parts)
             rows = [(p, 0, 0, pack(d_key=keys[order[a:b]], n=small(n[order[a:b]]))) for p, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
@@ -307,7 +312,7 @@ def _count_pairs(shared, parts: int, s: Settings):
             before, ctx, number = _pairs(model, tokens, sizes)
             known = (ctx >= 0) & (number >= 0)
             key, n = summed((ctx[known].astype(U64) << U64(32)) | number[known].astype(U64), np.ones(int(known.sum()), np.int64))
-            part = (mix(key) % U64(parts)).astype(np.int64)
+            part = _narrow(mix(key) % U64(parts), parts)
             order = np.argsort(part, kind="stable")
             cut = _cuts(part[order], parts)
             sides = {name: dealt(owner, other, np.ones(len(owner), np.int64), parts) for name, _, owner, other in _sides(tokens, before, ctx, number)}
@@ -531,8 +536,7 @@ def _ask(shared, parts: int, s: Settings):
                 place, at_once = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
             # Distinct (pair, text) of resident pairs, with counts.
             sent = np.flatnonzero(resident & ~at_once)
-            part = (mix(key[sent]) % U64(parts)).astype(np.int64)
-            sent = sent[np.lexsort((doc[sent], key[sent], part))]
+            sent = sent[np.lexsort((key[sent], _narrow(mix(key[sent]) % U64(parts), parts)))]  # stable: texts stay in order
             k, d = key[sent], doc[sent]
             first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])))) if len(k) else np.zeros(0, np.int64)
             n = np.diff(np.append(first, len(k)))
@@ -541,11 +545,14 @@ def _ask(shared, parts: int, s: Settings):
             # Tokens with one word that is not resident go to its owner.
             sides, both = {}, None
             for name, at, owner, other in _sides(tokens, before, ctx, number):
-                by = np.lexsort((doc[at], other, owner, owner % U64(parts)))
+                if name == "in":
+                    continue
+                part = _narrow(owner % U64(parts), parts)
+                by = np.lexsort((other, owner, part) if name == "out" else (owner, part))
                 at, owner, other = at[by], owner[by], other[by]
                 if name in ("word", "context"):
                     sides[name] = owner, other, doc[at], _cuts((owner % U64(parts)).astype(np.int64), parts)
-                elif name == "out":
+                else:
                     both = at, owner, other
             # Of two such words: distinct pairs to the contexts' owners, distinct words to theirs; texts stay here.
             at, owner, other = both
