@@ -55,6 +55,8 @@ def components(links: DataFrame, scratch: Scratch, name: str, at_once: int = 1 <
             least = _undirected(links).groupBy("v").agg(F.min_by("u", order("u")).alias("m"))
             least = least.select("v", F.when(order("v") < order("m"), F.col("v")).otherwise(F.col("m")).alias("m"))
         least = scratch.write(least, f"{name}-least-{k}")
+        if few and label is None:  # the smallest of the component already
+            return least.withColumnRenamed("m", "label")
         if label is None:
             label = least.withColumnRenamed("m", "label")
         else:
