@@ -67,6 +67,11 @@ class Bands:
     min_words: int = 10
     repeat_percent: int = 20
 
+    @property
+    def chunk_bytes(self) -> int:
+        """Bytes of a chunk of a long text."""
+        return self.chunks[0][1]
+
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
     """Words in windows of so many words that are found twice or more, the first included."""
