@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 from collections import Counter
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from veilframe.llm import ann, bpe, langid, line_dedup, minhash, packing, pitman_yor, quality_gam, quality_rules, sharding
 from veilframe.llm import components as linked
-from veilframe.llm.common import LOWER, Scratch
+from veilframe.llm.common import LOWER, Scratch, WorkerScratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n int, kept string, rep long, label string, k long"
 
@@ -245,6 +246,29 @@ def test_bpe_round_trip(spark, edge, empty, encoding):
         pairs.encode(edge, into="TEXT")
 
 
+def test_worker_scratch_holds_all_rows(spark):
+    schema = "a long, t string, k array<long>, i int, b boolean"
+    rows = [(n, None if n % 7 == 0 else "x\n" * (n % 5) + "\u00e9", None if n % 11 == 0 else [n, -n][: n % 3], n % 4, n % 2 == 0) for n in range(25_000)]
+    scratch = WorkerScratch(spark)
+    folder = pathlib.Path(scratch.root.removeprefix("file:").replace("///", "/"))
+    got = scratch.write(spark.createDataFrame(rows, schema).repartition(3), "rows")
+    (folder / "rows" / "_left.parquet").write_bytes(b"of a task that was lost")
+    assert got.schema == spark.createDataFrame([], schema).schema
+    assert sorted(map(tuple, got.collect())) == rows
+    assert scratch.write(got.where("a < 0"), "none").collect() == []
+    scratch.drop("rows")
+    assert not (folder / "rows").exists()
+
+
+def test_tables_of_near_duplicates_start_no_processes(spark):
+    # Each checksum file beside a table tells of two processes that the local file system started from the executor.
+    shared = pathlib.Path(Scratch(spark).root.removeprefix("file:").replace("///", "/")).parent
+    before = set(shared.glob("*"))
+    minhash.near_duplicates(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()
+    made = [p for root in set(shared.glob("*")) - before for p in root.rglob("*")]
+    assert any(p.suffix == ".parquet" for p in made) and not any(p.suffix == ".crc" for p in made)
+
+
 def test_chunks_stitch_like_one_pass():
     pattern, rng = regex.compile(public_tokenizers.PATTERN), random.Random(2)
     for _ in range(1500):

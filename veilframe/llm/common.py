@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import Scratch, scope, shared_dir, spread
 
-__all__ = ["LOWER", "Scratch", "WORD_SEPARATORS", "copies", "fold", "free_name", "lower_words_of", "scope", "shared_dir", "spread", "table", "words_of"]
+__all__ = ["LOWER", "Scratch", "WORD_SEPARATORS", "WorkerScratch", "copies", "fold", "free_name", "lower_words_of", "scope", "shared_dir", "spread", "table", "words_of"]
 
 #: Separators of words in every contract: space and the ASCII controls 9 to 13.
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
@@ -16,6 +22,53 @@ WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+def _stored(folder: str, batches: Iterator[pa.RecordBatch], group_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Writes the rows of one task to a hidden file of its own; yields its name, or nothing without rows."""
+    name, writer, held, size = f"_{uuid.uuid4().hex}.parquet", None, [], 0
+
+    def flush() -> None:
+        nonlocal writer, held, size
+        if held:
+            writer = writer or pq.ParquetWriter(f"{folder}/{name}", held[0].schema)
+            writer.write_table(pa.Table.from_batches(held))
+            held, size = [], 0
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= group_bytes:
+                flush()
+    flush()
+    if writer is not None:
+        writer.close()
+        yield pa.RecordBatch.from_pydict({"name": [name]})
+
+
+class WorkerScratch(Scratch):
+    """Scratch whose tables in a folder of the local file system are written by the tasks' Python workers, elsewhere by Spark.
+
+    For each file that it creates, and again for its checksums, Hadoop's local file system
+    starts a process (`chmod`) from the executor's JVM, some hundreds for many small tables.
+    Until such a child is replaced it shows the whole memory of the JVM as its own, so that an
+    executor that is measured at that moment seems to hold twice what it holds. Workers create
+    files without a process. Only the files of tasks that succeeded get their visible names.
+    For operators that run Python anyway; `op1` keeps to DataFrame operations.
+    """
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+        if uri.getScheme() != "file":
+            return super().write(df, name)
+        folder = uri.getPath()
+        os.makedirs(folder)
+        for row in df.mapInArrow(lambda batches: _stored(folder, batches), "name string").collect():
+            os.rename(f"{folder}/{row['name']}", f"{folder}/{row['name'][1:]}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, over all cores."""
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, lower_words_of
+from .common import Scratch, WorkerScratch, lower_words_of
 from .components import components
 
 U64 = np.uint64
@@ -232,7 +232,7 @@ def hidden_pairs(members: DataFrame, s: Sketch, scratch: Scratch) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sketch: Sketch = Sketch()) -> DataFrame:
     """id, n_shingles, component_id, kept: one row for each row of docs."""
     s = sketch
-    scratch = Scratch(docs.sparkSession)
+    scratch = WorkerScratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
     sig = scratch.write(docs.select("id", "th", sketch_udf(s)("text").alias("s")).select("id", "th", "s.*"), "sketches")
