@@ -5,11 +5,13 @@ import hashlib
 import math
 import pathlib
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -269,6 +271,28 @@ def test_tables_of_near_duplicates_start_no_processes(spark):
     assert any(p.suffix == ".parquet" for p in made) and not any(p.suffix == ".crc" for p in made)
 
 
+def test_steps_of_near_duplicates_hold_one_worker_a_task(spark, monkeypatch):
+    # A Python step below the one that writes its table holds a second worker for each task; components join few links in one task.
+    kind, plans = type(spark.range(0)), []
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    docs = spark.createDataFrame(list(copies().items()), "doc_id long, text string")
+    minhash.near_duplicates(docs, sketch=minhash.Sketch(width=4))
+    steps = [re.findall(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow", plan) for plan in plans]
+    assert len(steps) > 10 and all(len(found) == 1 for found in steps)
+
+
+def test_kernels_of_near_duplicates_do_not_depend_on_parts():
+    s, texts = minhash.Sketch(width=4), list(copies(n=1100).values())
+    docs = pa.RecordBatch.from_pydict({"id": [*range(1100)], "th": [*range(1100)], "text": texts})
+    pairs = pa.RecordBatch.from_pydict({"a": [n // 3 for n in range(1100)], "b": [*range(1100)], "ta": [texts[n // 3] for n in range(1100)], "tb": texts})
+    members = pa.RecordBatch.from_pydict({"v": [*range(1100)], "n": [1] * 1100, "label": [*range(1100)], "text": ["", *texts[1:]]})
+    for kernel, batch in ((minhash._sketches(s), docs), (minhash._confirm(s), pairs), (minhash._shingles(s), members)):
+        rows = lambda parts, f=kernel: [r for x in f(iter(parts)) for r in x.to_pylist()]
+        assert rows([batch]) == rows([batch.slice(n, 1) for n in range(1100)]) and rows([batch.slice(0, 0)]) == []
+        assert rows([batch])
+
+
 def test_chunks_stitch_like_one_pass():
     pattern, rng = regex.compile(public_tokenizers.PATTERN), random.Random(2)
     for _ in range(1500):

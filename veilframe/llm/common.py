@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.scratch import Scratch, scope, shared_dir, spread
 
-__all__ = ["LOWER", "Scratch", "WORD_SEPARATORS", "WorkerScratch", "copies", "fold", "free_name", "lower_words_of", "scope", "shared_dir", "spread", "table", "words_of"]
+__all__ = ["LOWER", "Scratch", "WORD_SEPARATORS", "WorkerScratch", "copies", "fold", "free_name", "lower_words_of", "scope", "shared_dir", "slices", "spread", "table", "words_of"]
 
 #: Separators of words in every contract: space and the ASCII controls 9 to 13.
 WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
@@ -22,6 +23,13 @@ WORD_SEPARATORS = b" \t\n\x0b\x0c\r"
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches in parts of few rows, so that a kernel turns no more than these into Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _stored(folder: str, batches: Iterator[pa.RecordBatch], group_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Writes the rows of one task to a hidden file of its own; yields its name, or nothing without rows."""
     name, writer, held, size = f"_{uuid.uuid4().hex}.parquet", None, [], 0
@@ -42,6 +50,7 @@ def _stored(folder: str, batches: Iterator[pa.RecordBatch], group_bytes: int = 8
     flush()
     if writer is not None:
         writer.close()
+        pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
         yield pa.RecordBatch.from_pydict({"name": [name]})
 
 
@@ -54,19 +63,36 @@ class WorkerScratch(Scratch):
     executor that is measured at that moment seems to hold twice what it holds. Workers create
     files without a process. Only the files of tasks that succeeded get their visible names.
     For operators that run Python anyway; `op1` keeps to DataFrame operations.
+
+    A Python step whose rows are written at once goes by `write_mapped`: its kernel and the
+    writing share one worker, where a step before `write` holds two for each task, and all
+    workers of an executor keep their memory.
     """
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
+        folder = self._folder(name)
+        if folder is None:
+            return super().write(df, name)
+        return self._saved(df, lambda batches: _stored(folder, batches), df.schema, name, folder)
+
+    def write_mapped(self, df: DataFrame, kernel: Callable[[Iterator], Iterator], schema: str, name: str) -> DataFrame:
+        folder = self._folder(name)
+        if folder is None:
+            return super().write_mapped(df, kernel, schema, name)
+        return self._saved(df, lambda batches: _stored(folder, kernel(batches)), StructType.fromDDL(schema), name, folder)
+
+    def _folder(self, name: str) -> str | None:
+        """The path of a table in the local file system, else None."""
         context = self.spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
         uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toUri()
-        if uri.getScheme() != "file":
-            return super().write(df, name)
-        folder = uri.getPath()
+        return uri.getPath() if uri.getScheme() == "file" else None
+
+    def _saved(self, df: DataFrame, store: Callable[[Iterator], Iterator], schema: StructType, name: str, folder: str) -> DataFrame:
         os.makedirs(folder)
-        for row in df.mapInArrow(lambda batches: _stored(folder, batches), "name string").collect():
+        for row in df.mapInArrow(store, "name string").collect():
             os.rename(f"{folder}/{row['name']}", f"{folder}/{row['name'][1:]}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

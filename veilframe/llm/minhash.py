@@ -40,12 +40,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, WorkerScratch, lower_words_of
+from .common import Scratch, WorkerScratch, lower_words_of, slices
 from .components import components
 
 U64 = np.uint64
@@ -85,12 +85,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-def shingle_set(text: str | None, width: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit shingle hashes of a text."""
+def shingle_set(text: str | None, width: int, hashes: WordHashes | None = None) -> np.ndarray:
+    """Sorted distinct 64-bit shingle hashes of a text; without `hashes` no word is remembered."""
     words = lower_words_of(text)
     if not words:
         return np.zeros(0, U64)
-    code = np.fromiter(map(hashes.__getitem__, words), U64, len(words))
+    code = np.fromiter(map(xxhash.xxh3_64_intdigest if hashes is None else hashes.__getitem__, words), U64, len(words))
     width = min(width, len(code))
     n = len(code) - width + 1
     h = np.full(n, U64(width))
@@ -134,33 +134,34 @@ def one_permutation(shingles: np.ndarray, bins: int, probes: np.ndarray) -> np.n
     return out
 
 
-def sketch_udf(s: Sketch):
-    """Text -> struct(n, hi, lo, bands): set size, 128-bit id of the set, band keys (the band in the last bits)."""
+def _sketches(s: Sketch):
+    """mapInArrow: rows (id, th, text) to (id, th) and the set's size n, its 128-bit id hi, lo and band keys (the band in the last bits)."""
 
-    @F.pandas_udf("n long, hi long, lo long, bands array<long>")
-    def sketch(texts: pd.Series) -> pd.DataFrame:
-        hashes, probes = WordHashes(), probe_table(s.bins, s.probes)
-        n, hi, lo, bands = [], [], [], []
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        probes = probe_table(s.bins, s.probes)
         number = np.arange(s.bands, dtype=U64)
         salt = np.arange(s.bands, dtype=U64) * U64(0xD6E8FEB86659FD93)
-        for text in texts:
-            have = shingle_set(text, s.width, hashes)
-            n.append(len(have))
-            digest = xxhash.xxh3_128_digest(have.tobytes())
-            hi.append(int.from_bytes(digest[:8], "big", signed=True))
-            lo.append(int.from_bytes(digest[8:], "big", signed=True))
-            if not len(have):
-                bands.append(np.zeros(0, np.int64))
-                continue
-            values = one_permutation(have, s.bins, probes).reshape(s.bands, s.rows)
-            key = salt.copy()
-            for k in range(s.rows):
-                key = mix(key * U64(0x9E3779B97F4A7C15) + values[:, k])
-            key = key - key % U64(s.bands) + number
-            bands.append(key.view(np.int64))
-        return pd.DataFrame({"n": n, "hi": hi, "lo": lo, "bands": pd.Series(bands, dtype=object)})
-
-    return sketch
+        for batch in slices(batches):
+            n, hi, lo, bands = [], [], [], []
+            for text in batch.column("text"):
+                have = shingle_set(text.as_py(), s.width)
+                n.append(len(have))
+                digest = xxhash.xxh3_128_digest(have.tobytes())
+                hi.append(int.from_bytes(digest[:8], "big", signed=True))
+                lo.append(int.from_bytes(digest[8:], "big", signed=True))
+                if not len(have):
+                    bands.append(np.zeros(0, np.int64))
+                    continue
+                values = one_permutation(have, s.bins, probes).reshape(s.bands, s.rows)
+                key = salt.copy()
+                for k in range(s.rows):
+                    key = mix(key * U64(0x9E3779B97F4A7C15) + values[:, k])
+                key = key - key % U64(s.bands) + number
+                bands.append(key.view(np.int64))
+            columns = [batch.column("id"), batch.column("th"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "th", "n", "hi", "lo", "bands"])
+
+    return sketches
 
 
 def _close(x: str, y: str, s: Sketch) -> Column:
@@ -169,38 +170,39 @@ def _close(x: str, y: str, s: Sketch) -> Column:
 
 
 def _confirm(s: Sketch):
-    """mapInPandas: rows (a, b, ta, tb), ordered by a, to the links (a, b) that hold on full sets."""
+    """mapInArrow: rows (a, b, ta, tb), ordered by a, to the links (a, b) that hold on full sets."""
 
-    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, None
-        for batch in batches:
-            keep = np.zeros(len(batch), bool)
-            for i, (a, ta, tb) in enumerate(zip(batch["a"], batch["ta"], batch["tb"], strict=True)):
+        for batch in slices(batches):
+            keep = np.zeros(batch.num_rows, bool)
+            ta, tb = batch.column("ta"), batch.column("tb")
+            for i, a in enumerate(batch.column("a").to_pylist()):
                 if a != last:
-                    last, mine = a, shingle_set(ta, s.width, hashes)
-                other = shingle_set(tb, s.width, hashes)
+                    last, mine = a, shingle_set(ta[i].as_py(), s.width)
+                other = shingle_set(tb[i].as_py(), s.width)
                 both = len(np.intersect1d(mine, other, assume_unique=True))
                 keep[i] = 100 * both >= s.percent * (len(mine) + len(other) - both)
-            yield batch.loc[keep, ["a", "b"]]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return confirm
 
 
 def _shingles(s: Sketch):
-    """Text -> its shingle set."""
+    """mapInArrow: rows (v, n, label, text) to a row (v, n, label, g) for each shingle."""
 
-    @F.pandas_udf("array<long>")
-    def shingles(texts: pd.Series) -> pd.Series:
-        hashes = WordHashes()
-        return pd.Series([shingle_set(t, s.width, hashes).view(np.int64) for t in texts], dtype=object)
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            have = [shingle_set(text.as_py(), s.width).view(np.int64) for text in batch.column("text")]
+            rows = batch.select(["v", "n", "label"]).take(pa.array(np.repeat(np.arange(len(have)), [len(h) for h in have])))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.concatenate(have))], names=["v", "n", "label", "g"])
 
     return shingles
 
 
 def hidden_pairs(members: DataFrame, s: Sketch, scratch: Scratch) -> DataFrame:
     """(a, b): all pairs of different labels among members (v, n, label, text) that the bounds admit."""
-    held = scratch.write(members.select("v", "n", "label", F.explode(_shingles(s)("text")).alias("g")), "held")
+    held = scratch.write_mapped(members.select("v", "n", "label", "text"), _shingles(s), "v long, n long, label long, g long", "held")
     counts = held.groupBy("g").agg(F.count("*").alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
     counts = scratch.write(counts.where("df > 1").select("g", "df", (F.col("lo") < F.col("hi")).alias("mixed")), "shared-shingles")
     # Shingles of one set alone come first in every order; only their number matters.
@@ -235,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = WorkerScratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.withColumn("th", F.xxhash64("text"))
-    sig = scratch.write(docs.select("id", "th", sketch_udf(s)("text").alias("s")).select("id", "th", "s.*"), "sketches")
+    sig = scratch.write_mapped(docs.select("id", "th", "text"), _sketches(s), "id long, th long, n long, hi long, lo long, bands array<long>", "sketches")
 
     # A vertex v is a set; its text is that of its first row (id, th). Written at once, so that v is fixed.
     sets = sig.where("n > 0 and id is not null").groupBy("hi", "lo").agg(F.min(F.struct("id", "th")).alias("of"), F.first("n").alias("n"))
@@ -258,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = texts.select(F.col("v").alias("a"), F.col("text").alias("ta"))
         right = texts.select(F.col("v").alias("b"), F.col("text").alias("tb"))
         rows = scratch.write(edges.select("a", "b").distinct(), f"{name}-candidates").join(right, "b").join(left, "a")
-        return scratch.write(rows.mapInPandas(_confirm(s), "a long, b long"), name)
+        return scratch.write_mapped(rows, _confirm(s), "a long, b long", name)
 
     hubs = scratch.write(live.groupBy("k").agg(F.max_by("v", "prio").alias("a"), F.max_by("n", "prio").alias("na")), "hubs")
     star = live.join(hubs, "k").where("v <> a").where(_close("n", "na", s)).select("a", F.col("v").alias("b"))
